@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewalk.llm.common import table
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
+from tidewalk.llm.packing import PackingParams, pack_documents
+from tidewalk.llm.token_files import TokenFileParams, read_token_files, token_file_folder, write_token_files
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies; only the queries look, operators get a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,5 +22,20 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), JaccardParams(words=3, percent=90))
 
 
-QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 ids."""
+    return pack_documents(table(spark, sf_dir, "documents"), PackingParams(tokenizer_path("byte_bpe_50k.json")))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids in binary files, and what those files hold."""
+    shards = write_token_files(table(spark, sf_dir, "documents"), TokenFileParams(tokenizer_path("word_bpe_49k.json")), token_file_folder(spark))
+    return read_token_files(shards)
+
+
+QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_packing": op2_packing,
+    "op4_token_files": op4_token_files,
+}
 ORACLES: dict[str, str] = {}
