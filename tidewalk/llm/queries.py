@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewalk.llm.common import table
+from tidewalk.llm.fingerprints import fingerprint_documents
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
 from tidewalk.llm.packing import PackingParams, pack_documents
+from tidewalk.llm.sentencepiece_backend import encode_documents
 from tidewalk.llm.token_files import TokenFileParams, read_token_files, token_file_folder, write_token_files
 
 
@@ -27,15 +29,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), PackingParams(tokenizer_path("byte_bpe_50k.json")))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of edited ones, and their likenesses."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ids in binary files, and what those files hold."""
     shards = write_token_files(table(spark, sf_dir, "documents"), TokenFileParams(tokenizer_path("word_bpe_49k.json")), token_file_folder(spark))
     return read_token_files(shards)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, decoded, and compared with the model's own library."""
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 ORACLES: dict[str, str] = {}

@@ -27,7 +27,7 @@ MARK = "\x01"
 ASCII_SPACE = bytes([0x20, *range(0x09, 0x0E)])
 
 
-def _has_odd_space(data: np.ndarray) -> np.ndarray:
+def odd_space(data: np.ndarray) -> np.ndarray:
     """Places of the last byte of white space outside ASCII, by its UTF-8 bytes."""
     found = []
     padded = np.concatenate([data, np.zeros(2, np.uint8)])
@@ -47,10 +47,10 @@ def _has_odd_space(data: np.ndarray) -> np.ndarray:
 
 
 class SegmentEncoder:
-    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment."""
+    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment, ``odd`` finds what sends a text to the library whole."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd_space: bool = True) -> None:
-        self.encode, self.odd_space = encode, odd_space
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd: Callable[[np.ndarray], np.ndarray] = odd_space) -> None:
+        self.encode, self.odd = encode, odd
         self.space = np.zeros(256, dtype=bool)
         self.space[list(spaces)] = True
         rng = np.random.Generator(np.random.PCG64(7))
@@ -67,13 +67,16 @@ class SegmentEncoder:
         self.begin = np.zeros(1, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
 
+    def _is_space(self, char: str) -> bool:
+        return ord(char) < 128 and bool(self.space[ord(char)])
+
     def _encode_distinct(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in a row, and how many each has.
 
         The library is called on long strings, in which a mark stands after each segment;
-        a segment that begins without white space or has the mark's character goes alone.
+        one that begins without white space, is nothing else, or has the mark's character goes alone.
         """
-        alone = [k for k, x in enumerate(texts) if MARK in x or not self.space[ord(x[0]) & 0xFF] or ord(x[0]) > 0xFF]
+        alone = [k for k, x in enumerate(texts) if MARK in x or not self._is_space(x[0]) or self._is_space(x[-1])]
         found: dict[int, np.ndarray] = dict(zip(alone, (np.array(x, np.uint32) for x in self.encode([texts[k] for k in alone])), strict=True)) if alone else {}
         rest = [k for k in range(len(texts)) if k not in found]
         tail = f"{chr(self.gap)}{MARK}"
@@ -153,7 +156,7 @@ class SegmentEncoder:
     def batches(self, text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, ids in a row, starts by row) over a string array; null counts as empty."""
         for i, j, data, ends in chunks(text):
-            odd = _has_odd_space(data) if self.odd_space and len(data) else np.zeros(0, np.int64)
+            odd = self.odd(data) if len(data) else np.zeros(0, np.int64)
             ids, per = self._chunk(data, ends)
             starts = np.concatenate([[0], np.cumsum(per)])
             if len(odd):
