@@ -8,6 +8,7 @@ from tidewalk.llm.common import table
 from tidewalk.llm.fingerprints import fingerprint_documents
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
 from tidewalk.llm.packing import PackingParams, pack_documents
+from tidewalk.llm.quality_rules import judge_documents
 from tidewalk.llm.sentencepiece_backend import encode_documents
 from tidewalk.llm.token_files import TokenFileParams, read_token_files, token_file_folder, write_token_files
 
@@ -40,6 +41,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(shards)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under voting rules weighed by expectation-maximisation."""
+    return judge_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, decoded, and compared with the model's own library."""
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -50,6 +56,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
 }
 ORACLES: dict[str, str] = {}

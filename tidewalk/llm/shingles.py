@@ -10,6 +10,7 @@ document, whichever is larger.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ class _Tables:
         self.n = 0
         rng = np.random.Generator(np.random.PCG64(20240229))
         self.byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        self.exact = self.byte.copy()
         upper = np.arange(65, 91)
         self.byte[upper] = self.byte[upper + 32]  # A-Z count as a-z
         self.space = np.zeros(256, dtype=bool)
@@ -67,11 +69,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document index of every word; ``ends`` are the documents' byte ends in ``data``."""
+@dataclass
+class Words:
+    """Words of a chunk of documents: where each starts and stops, its document, and its hash."""
+
+    starts: np.ndarray
+    stops: np.ndarray
+    doc: np.ndarray
+    hash: np.ndarray
+    sums: np.ndarray  # prefix sums of the rolling hash, for other spans
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes, from the chunk's prefix sums."""
+    _, down = _T.upto(len(sums))
+    return mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
+
+
+def find_words(data: np.ndarray, ends: np.ndarray, fold: bool = True) -> Words:
+    """All words; ``ends`` are the documents' byte ends in ``data``; with ``fold`` A-Z count as a-z in the hashes."""
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(1, np.uint64))
     inside = ~_T.space[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -82,11 +102,16 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     last[:-1] &= ~inside[1:]
     last[cuts - 1] = inside[cuts - 1]
     stops = np.flatnonzero(last) + 1
-    up, down = _T.upto(n + 1)
+    up, _ = _T.upto(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_T.byte[data] * up[:n], out=sums[1:])
-    raw = (sums[stops] - sums[starts]) * down[starts]
-    return mix(raw + (stops - starts).astype(np.uint64)), np.searchsorted(ends, starts, side="right")
+    np.cumsum((_T.byte if fold else _T.exact)[data] * up[:n], out=sums[1:])
+    return Words(starts, stops, np.searchsorted(ends, starts, side="right"), span_hashes(sums, starts, stops), sums)
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document index of every word."""
+    words = find_words(data, ends)
+    return words.hash, words.doc
 
 
 def chunks(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
