@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,22 @@ class Workspace:
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Bytes of rows that go to Python at once; texts may be long, and both sides hold a batch whole.
+ARROW_BYTES = 4 << 20
+
+
+def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, unless the session asks for a size of its own."""
+    bound_batches(frame.sparkSession)
+    return frame.mapInArrow(function, schema)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's own default
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def as_nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewalk.llm.common import map_arrow
 from tidewalk.llm.shingles import mix, word_hashes
 
 DIGEST, LANES = 4, 256
@@ -200,4 +201,4 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
     lent = F.transform(F.coalesce("into", F.array().cast("array<int>")), lambda p: F.struct(p.alias("part"), F.lit(False).alias("own")))
     dealt = text.select("doc_id", "text", F.inline(F.concat(own, lent))).repartition("part")
     in_order = dealt.sortWithinPartitions("part", F.col("own").desc(), F.col("doc_id").asc_nulls_first(), "text")
-    return in_order.select("doc_id", "own", "text").mapInArrow(_compare, _SCHEMA)
+    return map_arrow(in_order.select("doc_id", "own", "text"), _compare, _SCHEMA)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import Workspace
+from tidewalk.llm.common import Workspace, map_arrow
 from tidewalk.llm.components import connected_components
 from tidewalk.llm.shingles import mix, shingle_sets, sort_each, sums_each
 
@@ -78,8 +78,8 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequency_levels(docs: DataFrame, params: JaccardParams) -> np.ndarray:
     """Log-scaled counts of all shingles of all documents by hash cell (``2**sketch_bits`` bytes)."""
-    partial = docs.select("text").mapInArrow(_partial_counts(params.words, params.sketch_bits), "block int, cells binary")
-    rows = partial.repartition("block").mapInArrow(_sum_counts, "block int, cells binary").collect()
+    partial = map_arrow(docs.select("text"), _partial_counts(params.words, params.sketch_bits), "block int, cells binary")
+    rows = map_arrow(partial.repartition("block"), _sum_counts, "block int, cells binary").collect()
     levels = np.zeros((_BLOCKS, (1 << params.sketch_bits) // _BLOCKS), dtype=np.uint8)
     for block, cells in rows:
         levels[block] = np.frombuffer(cells, dtype=np.uint8)
@@ -173,7 +173,7 @@ class _Join:
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs.select("doc_id", "text")
         levels = self.spark.sparkContext.broadcast(frequency_levels(self.docs, params))
-        self.features = work.table(self.docs.mapInArrow(_features(levels, params), _FEATURES), "features")
+        self.features = work.table(map_arrow(self.docs, _features(levels, params), _FEATURES), "features")
 
     # The sizes' difference, or places i and j of the first common shingle, bound the symmetric difference from below.
     def possible(self, apart: str, sizes: str) -> str:
@@ -184,9 +184,9 @@ class _Join:
         bits = self.classes.select("node", "n", "bits")
         pairs = pairs.join(bits.toDF("a", "n_a", "bits_a"), "a").join(bits.toDF("b", "n_b", "bits_b"), "b")
         pairs = pairs.where(self.possible("abs(n_a - n_b)", "n_a + n_b"))
-        near = self.work.table(pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_near_by_bits(self.params.percent), "a long, b long"), f"{label}-near")
+        near = self.work.table(map_arrow(pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), _near_by_bits(self.params.percent), "a long, b long"), f"{label}-near")
         wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-        sets = self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(self.params.words), "doc_id long, members array<long>").where(F.size("members") > 0)
+        sets = map_arrow(self.docs.join(wanted, "doc_id", "left_semi"), _sets(self.params.words), "doc_id long, members array<long>").where(F.size("members") > 0)
         full = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         full = full.select("a", "b", common.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))

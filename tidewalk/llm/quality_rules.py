@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import Workspace
+from tidewalk.llm.common import Workspace, map_arrow
 from tidewalk.llm.shingles import chunks
 from tidewalk.llm.text_stats import STATS, text_stats
 
@@ -55,7 +55,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the counts of ``text_stats``; a null text has no words."""
-    return docs.select("doc_id", "text").mapInArrow(_stats, "doc_id long, " + ", ".join(f"{s} long" for s in STATS))
+    return map_arrow(docs.select("doc_id", "text"), _stats, "doc_id long, " + ", ".join(f"{s} long" for s in STATS))
 
 
 @dataclass

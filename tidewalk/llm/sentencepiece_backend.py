@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidewalk.llm.common import map_arrow
 from tidewalk.llm.segments import SegmentEncoder, crc32
 
 SPACE = "▁"
@@ -174,6 +175,10 @@ class PieceCodec:
         plain = not self.model.charsmap and not self.model.remove_extra_spaces and self.model.escape_spaces
         self.segments = SegmentEncoder(self._ids, spaces=b" ", odd=_literal_marks) if plain and self.model.splits_at_spaces() and self.model.kind == BPE and self.model.byte_fallback else None
         self.kinds = np.array([k for _, _, k in self.model.pieces])
+        raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(SPACE, " ").encode() for p, _, k in self.model.pieces]
+        self.flat = np.frombuffer(b"".join(raw), np.uint8)
+        self.width = np.array([len(r) for r in raw])
+        self.place = np.cumsum(self.width) - self.width
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -193,6 +198,15 @@ class PieceCodec:
             starts = np.concatenate([[0], np.cumsum([len(x) for x in part])]).astype(np.int64)
             yield i, i + len(part), np.fromiter((x for one in part for x in one), np.uint32, starts[-1]), starts
 
+    def decode_bytes(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """UTF-8 bytes of documents whose ids stand in a row, the dummy prefix gone; bytes that are no text stay as they are."""
+        width = self.width[ids]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        data = self.flat[np.repeat(self.place[ids] - ends[:-1], width) + np.arange(ends[-1])].tobytes()
+        cuts = ends[starts].tolist()
+        skip = int(self.model.add_dummy_prefix)
+        return [data[a + skip if data[a : a + 1] == b" " else a : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of ids; control pieces give nothing, the dummy prefix goes."""
         out = self.tokenizer.decode_batch([[x for x in one if self.kinds[x] != CONTROL] for one in ids], skip_special_tokens=False)
@@ -218,20 +232,24 @@ def _run(path: str, verify: bool, with_ids: bool):
         for batch in batches:
             docs = batch.column("doc_id").cast(pa.int64())
             for i, j, ids, starts in own.batches(batch.column("text")):
-                each = [ids[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-                lists = [x.tolist() for x in each]
-                texts = batch.column("text").slice(i, j - i).to_pylist()
-                decoded = own.decode(lists)
+                cuts = list(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True))
+                texts = batch.column("text").slice(i, j - i).fill_null("").to_pylist()
+                decoded = own.decode_bytes(ids, starts)
+                single = np.concatenate([[0], np.cumsum(own.kinds[ids] == BYTE)])
+                same = [None] * (j - i)
+                if other:
+                    every = ids.tolist()
+                    same = [every[a:b] == y for (a, b), y in zip(cuts, other.encode(texts, num_threads=1), strict=True)]
                 columns = [
                     docs.slice(i, j - i),
                     pa.array(np.diff(starts)),
-                    pa.array([int((own.kinds[x] == BYTE).sum()) for x in each], pa.int64()),
-                    pa.array([crc32(x) for x in each], pa.int64()),
-                    pa.array([d == (t or "") for d, t in zip(decoded, texts, strict=True)]),
-                    pa.array([x == y for x, y in zip(lists, other.encode([t or "" for t in texts], num_threads=1), strict=True)] if other else [None] * (j - i), pa.bool_()),
+                    pa.array(single[starts[1:]] - single[starts[:-1]]),
+                    pa.array([crc32(ids[a:b]) for a, b in cuts], pa.int64()),
+                    pa.array([d == t.encode() for d, t in zip(decoded, texts, strict=True)]),
+                    pa.array(same, pa.bool_()),
                 ]
                 if with_ids:
-                    columns += [pa.array([x.astype("<u4").tobytes() for x in each], pa.binary()), pa.array(decoded, pa.string())]
+                    columns += [pa.array([ids[a:b].astype("<u4").tobytes() for a, b in cuts], pa.binary()), pa.array([d.decode("utf-8", "replace") for d in decoded], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, _NAMES[: len(columns)])
 
     return run
@@ -251,4 +269,4 @@ def encode_documents(docs: DataFrame, model_path: str, verify: bool = True, with
     ``ids`` (those bytes) and ``decoded``.
     """
     schema = "doc_id long, n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean, parity boolean" + ", ids binary, decoded string" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(_run(model_path, verify, with_ids), schema)
+    return map_arrow(docs.select("doc_id", "text"), _run(model_path, verify, with_ids), schema)

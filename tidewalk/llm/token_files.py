@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import Workspace
+from tidewalk.llm.common import Workspace, map_arrow
 from tidewalk.llm.elias_fano import EliasFano
 from tidewalk.llm.segments import crc32, library_encoder
 
@@ -143,7 +143,7 @@ def write_token_files(docs: DataFrame, params: TokenFileParams, folder: str) ->
     files = params.files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("doc_id", "text").repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     work = Workspace(spark, "token-files")
-    shards = work.table(dealt.mapInArrow(_write(params, folder), "shard long, path string, n_docs long, n_ids long"), "shards")
+    shards = work.table(map_arrow(dealt, _write(params, folder), "shard long, path string, n_docs long, n_ids long"), "shards")
     # One row per file, so the one task of this window is small.
     before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     return shards.withColumn("first_id", F.coalesce(before, F.lit(0)))
@@ -170,7 +170,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(shards: DataFrame) -> DataFrame:
     """What the files hold, by document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``."""
     spread = shards.select("path", "first_id").repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
-    return spread.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(spread, _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file_folder(spark: SparkSession) -> str:
