@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewalk.llm.common import Workspace, map_arrow
 from tidewalk.llm.shingles import chunks
@@ -94,7 +95,18 @@ class VoteModel:
         return model
 
 
-def judge_documents(docs: DataFrame, threshold: float = 0.5, work: Workspace | None = None) -> DataFrame:
+BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
+
+
+def fit_votes(voted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Vote patterns of a table with ``votes``, and the posterior of each."""
+    patterns = voted.groupBy("votes").agg(F.count("*").alias("docs")).collect()
+    votes = np.array([p["votes"] for p in patterns], dtype=np.int64).reshape(len(patterns), len(rules()))
+    model = VoteModel.fit(votes, np.array([p["docs"] for p in patterns], dtype=np.float64))
+    return votes, model.posterior(votes)
+
+
+def judge_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Each document's counts, votes' verdict and whether it stays.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not looked at.  One row per
@@ -104,17 +116,46 @@ def judge_documents(docs: DataFrame, threshold: float = 0.5, work: Workspace | N
     ``kept`` (the posterior reaches ``threshold`` and the base rules didn't fail).  A
     null text has no words and fails.  An empty table gives no rows.
     """
-    work = work or Workspace(docs.sparkSession, "rules")
-    stats = work.table(document_stats(docs), "stats")
-    named = rules()
-    voted = stats.withColumn("votes", F.array(*named.values()))
-    patterns = voted.groupBy("votes").agg(F.count("*").alias("docs")).collect()
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    base = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
-    votes = np.array([p["votes"] for p in patterns], dtype=np.int64).reshape(len(patterns), len(named))
-    model = VoteModel.fit(votes, np.array([p["docs"] for p in patterns], dtype=np.float64))
-    known = docs.sparkSession.createDataFrame([(v.tolist(), float(p)) for v, p in zip(votes, model.posterior(votes), strict=True)], "votes array<int>, posterior double")
+    stats = Workspace(docs.sparkSession, "rules").table(document_stats(docs), "stats")
+    voted = stats.withColumn("votes", F.array(*rules().values()))
+    votes, posterior = fit_votes(voted)
+    known = docs.sparkSession.createDataFrame([(v.tolist(), float(p)) for v, p in zip(votes, posterior, strict=True)], "votes array<int>, posterior double")
     # At most 3 ** rules rows, whatever the input.
     judged = voted.join(F.broadcast(known), "votes", "left")
     count = {side: F.size(F.filter("votes", lambda v, s=sign: v == s)) for side, sign in (("votes_good", 1), ("votes_bad", -1))}
-    return judged.select(*columns, base.alias("base_failed"), *(c.alias(n) for n, c in count.items()), "posterior", (~base & (F.col("posterior") >= threshold)).alias("kept"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    kept = ~F.expr(BASE_FAILED) & (F.col("posterior") >= threshold)
+    return judged.select(*columns, F.expr(BASE_FAILED).alias("base_failed"), *(c.alias(n) for n, c in count.items()), "posterior", kept.alias("kept"))
+
+
+def _with_stats(carried: str):
+    """Rows as they are, with the counts of their text in a struct column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [text_stats(data, ends) for _, _, data, ends in chunks(batch.column("text"))]
+            if parts:
+                counts = pa.StructArray.from_arrays([pa.array(np.concatenate([p[s] for p in parts]), pa.int64()) for s in STATS], list(STATS))
+                yield batch.append_column(carried, counts)
+
+    return run
+
+
+def keep_well_formed_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that ``judge_documents`` keeps, all columns as they were.
+
+    Votes are counted in a first pass; the second recomputes each row's votes beside the
+    row, so texts are neither shuffled nor joined.
+    """
+    voted = document_stats(docs).select(F.array(*rules().values()).alias("votes"))
+    votes, posterior = fit_votes(voted)
+    good = [tuple(v.tolist()) for v, p in zip(votes, posterior, strict=True) if p >= threshold]
+    taken = {f.name.lower() for f in docs.schema.fields}
+    carried = next(n for n in (f"form{k}" for k in range(len(taken) + 1)) if n not in taken)
+    shape = T.StructType([*docs.schema.fields, T.StructField(carried, T.StructType([T.StructField(s, T.LongType()) for s in STATS]))])
+    wide = map_arrow(docs, _with_stats(carried), shape)
+    # The rules name the counts alone, so rows are wrapped while they are applied.
+    rows = wide.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"), F.col(f"{carried}.*"))
+    known = docs.sparkSession.createDataFrame([(list(g),) for g in good], "votes array<int>")
+    kept = rows.where(f"not ({BASE_FAILED})").withColumn("votes", F.array(*rules().values())).join(F.broadcast(known), "votes", "left_semi")
+    return kept.select("whole_row.*")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewalk.llm.common import table
 from tidewalk.llm.fingerprints import fingerprint_documents
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
 from tidewalk.llm.packing import PackingParams, pack_documents
+from tidewalk.llm.quality_classifier import grade_documents, label_grade
 from tidewalk.llm.quality_rules import judge_documents
 from tidewalk.llm.sentencepiece_backend import encode_documents
 from tidewalk.llm.token_files import TokenFileParams, read_token_files, token_file_folder, write_token_files
@@ -51,6 +53,16 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def label_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels as graded ratings: poor 0, toxic 1, clean 2."""
+    return table(spark, sf_dir, "labels").select("doc_id", label_grade(F.col("quality"), F.col("toxic")).alias("grade"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents graded by ordinal regression on the labels."""
+    return grade_documents(table(spark, sf_dir, "documents"), label_grades(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
@@ -58,5 +70,6 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
