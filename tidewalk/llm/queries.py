@@ -9,6 +9,7 @@ from tidewalk.llm.chat_trees import format_conversations, loss_text, parse_turns
 from tidewalk.llm.common import table
 from tidewalk.llm.fingerprints import fingerprint_documents
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
+from tidewalk.llm.license_scan import scan_licenses
 from tidewalk.llm.packing import PackingParams, pack_documents
 from tidewalk.llm.quality_classifier import grade_documents, label_grade
 from tidewalk.llm.quality_rules import judge_documents
@@ -44,6 +45,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(shards)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents under voting rules weighed by expectation-maximisation."""
     return judge_documents(table(spark, sf_dir, "documents"))
@@ -104,6 +110,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat_format": op8_chat_format,
