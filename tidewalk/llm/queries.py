@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewalk.llm.chat_trees import format_conversations, loss_text, parse_turns
 from tidewalk.llm.common import table
 from tidewalk.llm.fingerprints import fingerprint_documents
+from tidewalk.llm.html_layout import extract_pages
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
 from tidewalk.llm.license_scan import scan_licenses
 from tidewalk.llm.packing import PackingParams, pack_documents
@@ -95,6 +96,11 @@ from turns group by conv_id
 """
 
 
+def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of all pages."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def label_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels as graded ratings: poor 0, toxic 1, clean 2."""
     return table(spark, sf_dir, "labels").select("doc_id", label_grade(F.col("quality"), F.col("toxic")).alias("grade"))
@@ -114,6 +120,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat_format": op8_chat_format,
+    "op9_html_layout": op9_html_layout,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {"op8_chat_format": OP8_SQL}
