@@ -66,7 +66,8 @@ def ancestors(nodes: DataFrame, work: Workspace) -> DataFrame:
     for reach, jump in reversed(jumps):
         hop = jump.select("tree", F.col("node").alias("above"), F.col("above").alias("far"))
         more = found.join(hop, ["tree", "above"]).select("tree", "node", F.col("far").alias("above"), (F.col("steps") + reach).alias("steps"))
-        found = found.unionByName(more)
+        # Written each time: left as a plan, it would double with every hop.
+        found = work.table(found.unionByName(more), f"found-{reach}")
     return found
 
 

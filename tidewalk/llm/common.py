@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,7 +57,19 @@ ARROW_BYTES = 4 << 20
 def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, unless the session asks for a size of its own."""
     bound_batches(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release_memory()
+
+    return frame.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task, and its allocators keep what they had."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from tidewalk.llm.shingles import _T, chunks, mix
 
 #: Distinct segments remembered by one Python worker before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 #: Stands between segments that are encoded together.
 MARK = "\x01"
