@@ -155,7 +155,7 @@ class SegmentEncoder:
 
     def batches(self, text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, ids in a row, starts by row) over a string array; null counts as empty."""
-        for i, j, data, ends in chunks(text):
+        for i, j, data, ends in chunks(text, 1 << 20):
             odd = self.odd(data) if len(data) else np.zeros(0, np.int64)
             ids, per = self._chunk(data, ends)
             starts = np.concatenate([[0], np.cumsum(per)])

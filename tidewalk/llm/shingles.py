@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -114,7 +114,7 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return words.hash, words.doc
 
 
-def chunks(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(text: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, ends within them) of pieces of a string array; null counts as empty."""
     text = text.cast(pa.large_string())
     if text.null_count:
@@ -126,7 +126,7 @@ def chunks(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(buf, dtype=np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
     i = 0
     while i < len(text):
-        j = int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1
+        j = int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1
         j = min(max(j, i + 1), len(text))
         yield i, j, data[offsets[i] : offsets[j]], offsets[i + 1 : j + 1] - offsets[i]
         i = j
