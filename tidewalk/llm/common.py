@@ -51,7 +51,7 @@ class Workspace:
 
 
 #: Bytes of rows that go to Python at once; texts may be long, and both sides hold a batch whole.
-ARROW_BYTES = 4 << 20
+ARROW_BYTES = 2 << 20
 
 
 def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:

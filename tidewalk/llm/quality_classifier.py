@@ -37,7 +37,7 @@ class ClassifierParams:
     A document is kept if the probability of at least ``keep_grade`` reaches ``keep_at``.
     """
 
-    sample_rows: int = 12_000
+    sample_rows: int = 8_000
     min_docs: int = 5
     screen: float = 4.0
     effect: float = 0.075
@@ -124,7 +124,7 @@ class OrdinalModel:
         over its documents is far enough from 0 (see ``ClassifierParams``).
         """
         top, n = max(int(grades.max(initial=0)), params.keep_grade), len(grades)
-        row = np.repeat(np.arange(n), np.diff(starts))
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
         often = np.bincount(cells, minlength=1 << BITS)
         strength = np.zeros(1 << BITS)
         above = np.array([((grades > k).sum() + 0.5) / (n + 1) for k in range(top)])
@@ -133,10 +133,10 @@ class OrdinalModel:
             z = np.bincount(cells, weights=residual[row], minlength=1 << BITS) / np.sqrt(np.maximum(often * above[k] * (1 - above[k]), 1e-9))
             strength = np.maximum(strength, np.abs(z))
         used = np.flatnonzero((often >= params.min_docs) & (often < n) & (strength >= max(params.screen, params.effect * np.sqrt(n))))
-        column = np.full(1 << BITS, -1)
+        column = np.full(1 << BITS, -1, np.int32)
         column[used] = np.arange(len(used))
         kept = column[cells] >= 0
-        row, col = row[kept], column[cells][kept]
+        row, col = row[kept], column[cells[kept]]
 
         # Thresholds start where the null model has them; the first is free, the others are log steps.
         base = np.log((1 - above) / above)

@@ -19,7 +19,10 @@ import pyarrow as pa
 from tidewalk.llm.shingles import _T, chunks, mix
 
 #: Distinct segments remembered by one Python worker before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
+
+#: Recent segments that are looked up apart, so that learning a few doesn't move all.
+RECENT = 50_000
 
 #: Stands between segments that are encoded together.
 MARK = "\x01"
@@ -47,25 +50,36 @@ def odd_space(data: np.ndarray) -> np.ndarray:
 
 
 class SegmentEncoder:
-    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment, ``odd`` finds what sends a text to the library whole."""
+    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment, ``odd`` finds what sends a text to the library whole; ids below 65,536 are kept ``narrow``."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd: Callable[[np.ndarray], np.ndarray] = odd_space) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd: Callable[[np.ndarray], np.ndarray] = odd_space, narrow: bool = False) -> None:
         self.encode, self.odd = encode, odd
         self.space = np.zeros(256, dtype=bool)
         self.space[list(spaces)] = True
         rng = np.random.Generator(np.random.PCG64(7))
         self.byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-        self.gap = spaces[0]
+        self.narrow, self.gap = narrow, spaces[0]
         self.mark = encode([f"{chr(self.gap)}{MARK}"])[0]
         if self.mark.count(self.mark[-1]) != 1:
             raise ValueError("the mark's last id must be the mark's alone")
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int64)
-        self.begin = np.zeros(1, np.int64)
-        self.flat = np.zeros(1 << 16, np.uint32)
+        #: Known keys in two sorted tables: most of them, and recent ones that join the first from time to time.
+        self.known = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.count = 0
+        self.begin = np.zeros(1 << 12, np.int32)
+        self.flat = np.zeros(1 << 16, np.uint16 if self.narrow else np.uint32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where the keys' ids are kept, -1 for what isn't known."""
+        out = np.full(len(keys), -1, np.int32)
+        for table, slots in self.known:
+            if len(table):
+                place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                hit = table[place] == keys
+                out[hit] = slots[place[hit]]
+        return out
 
     def _is_space(self, char: str) -> bool:
         return ord(char) < 128 and bool(self.space[ord(char)])
@@ -103,14 +117,24 @@ class SegmentEncoder:
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         ids, lengths = self._encode_distinct(texts)
-        used, more = self.begin[-1], len(ids)
+        used, more, n = int(self.begin[self.count]), len(ids), len(texts)
         while used + more > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + n >= len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
         self.flat[used : used + more] = ids
-        slots = np.arange(len(self.begin) - 1, len(self.begin) - 1 + len(texts))
-        self.begin = np.concatenate([self.begin, used + np.cumsum(lengths)])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.slots = np.insert(self.keys, place, keys), np.insert(self.slots, place, slots)
+        self.begin[self.count + 1 : self.count + n + 1] = used + np.cumsum(lengths)
+        most, recent = self.known
+        recent = self._joined(recent, (keys, np.arange(self.count, self.count + n, dtype=np.int32)))
+        self.count += n
+        if len(recent[0]) > RECENT:
+            most, recent = self._joined(most, recent), (recent[0][:0], recent[1][:0])
+        self.known = [most, recent]
+
+    @staticmethod
+    def _joined(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(a[0], b[0])
+        return np.insert(a[0], place, b[0]), np.insert(a[1], place, b[1])
 
     def _segments(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
@@ -133,29 +157,27 @@ class SegmentEncoder:
         np.cumsum(self.byte[data] * up[: len(data)], out=sums[1:])
         keys = mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
         each, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) + len(each) > REMEMBERED:
+        if self.count + len(each) > REMEMBERED:
             self.forget()
-        place = np.searchsorted(self.keys, each)
-        new = np.ones(len(each), dtype=bool)
-        inside = place < len(self.keys)
-        new[inside] = self.keys[place[inside]] != each[inside]
+        slot = self._slots(each)
+        new = slot < 0
         if new.any():
             raw = data.tobytes()
             at = first[new]
             self._learn(each[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
-            place = np.searchsorted(self.keys, each)
-        slot = self.slots[place][back]
-        count = (self.begin[1:] - self.begin[:-1])[slot]
+            slot[new] = np.arange(self.count - int(new.sum()), self.count)
+        slot = slot[back]
+        count = (self.begin[slot + 1] - self.begin[slot]).astype(np.int64)
         before = np.cumsum(count) - count
         total = int(count.sum())
-        ids = self.flat[np.repeat(self.begin[slot] - before, count) + np.arange(total)]
+        ids = self.flat[np.repeat(self.begin[slot] - before, count) + np.arange(total)].astype(np.uint32)
         owner = np.searchsorted(ends, starts, side="right")
         per = np.bincount(owner, weights=count, minlength=docs).astype(np.int64)
         return ids, per
 
     def batches(self, text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, ids in a row, starts by row) over a string array; null counts as empty."""
-        for i, j, data, ends in chunks(text, 1 << 20):
+        for i, j, data, ends in chunks(text, 1 << 19):
             odd = self.odd(data) if len(data) else np.zeros(0, np.int64)
             ids, per = self._chunk(data, ends)
             starts = np.concatenate([[0], np.cumsum(per)])
@@ -181,7 +203,8 @@ def library_encoder(path: str) -> SegmentEncoder:
         tokenizer.encode_special_tokens = True
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        _ENCODERS[path] = SegmentEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        narrow = tokenizer.get_vocab_size() <= 1 << 16
+        _ENCODERS[path] = SegmentEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], narrow=narrow)
     return _ENCODERS[path]
 
 

@@ -173,7 +173,7 @@ class PieceCodec:
             raise ValueError("models with the white-space mark behind words are not supported")
         self.tokenizer = build_tokenizer(self.model)
         plain = not self.model.charsmap and not self.model.remove_extra_spaces and self.model.escape_spaces
-        self.segments = SegmentEncoder(self._ids, spaces=b" ", odd=_literal_marks) if plain and self.model.splits_at_spaces() and self.model.kind == BPE and self.model.byte_fallback else None
+        self.segments = SegmentEncoder(self._ids, spaces=b" ", odd=_literal_marks, narrow=len(self.model.pieces) <= 1 << 16) if plain and self.model.splits_at_spaces() and self.model.kind == BPE and self.model.byte_fallback else None
         self.kinds = np.array([k for _, _, k in self.model.pieces])
         raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(SPACE, " ").encode() for p, _, k in self.model.pieces]
         self.flat = np.frombuffer(b"".join(raw), np.uint8)
