@@ -73,7 +73,7 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             acc = np.zeros(len(word), np.uint64)
             for k in range(3):
                 shifted = np.zeros(len(word), np.uint64)
-                shifted[: len(word) - k] = word[k:]
+                shifted[: max(0, len(word) - k)] = word[k:]
                 acc = np.where(left > k, acc * _SALTS[3] + shifted, acc)
             keep = (left >= 3) | first
             h = mix(acc[keep])

@@ -262,8 +262,9 @@ def ngram_jaccard_join(docs: DataFrame, params: JaccardParams | None = None) ->
     work = Workspace(docs.sparkSession, "jaccard")
     run = _Join(docs, params, work)
     found = run.components()
-    by_class = run.classes.select("n", "h1", "h2", "node").join(found, "node", "left").select("n", "h1", "h2", F.coalesce("component", "node").alias("component"))
-    out = run.features.join(by_class, ["n", "h1", "h2"], "left")
+    # By document, not by class: a class of very many equal documents would be one hot key.
+    by_doc = run.members.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+    out = run.features.select("doc_id", "n").join(by_doc, "doc_id", "left")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 

@@ -148,7 +148,7 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None) -> DataF
     total = scanned.count()
     seen = scanned.where("size(hits) > 0").select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
     often = {r["word"]: r["files"] for r in seen.groupBy("word").agg(F.count("*").alias("files")).collect()}
-    weight = {w: math.log(1 + total / (often.get(w, 0) + 0.5)) for w in words_of}
+    weight = {w: math.log(1 + (total + 1) / (often.get(w, 0) + 0.5)) for w in words_of}
     postings = [
         (w, label, k, t_place, weight[w], weight[w] / sum(weight[x] for x in t.split() if x in weight))
         for label, texts in TEMPLATES.items()

@@ -166,7 +166,7 @@ def shingle_sets(text: pa.Array, words: int = 3) -> Iterator[tuple[int, int, np.
             ok = within > k
             here[ok] += 1
             shifted = np.zeros(total, dtype=np.uint64)
-            shifted[: total - k] = word[k:]
+            shifted[: max(0, total - k)] = word[k:]
             step = acc * np.uint64(0xD6E8FEB86659FD93) + shifted
             acc = np.where(ok, step, acc)
         hashes = mix(acc ^ (here.astype(np.uint64) << np.uint64(58)))
