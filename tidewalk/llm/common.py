@@ -54,11 +54,21 @@ class Workspace:
 ARROW_BYTES = 2 << 20
 
 
-def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with batches bounded in bytes, unless the session asks for a size of its own."""
+#: What a Python worker holds from one task to the next of the same operator.
+HELD: list[dict] = []
+
+
+def map_arrow(frame: DataFrame, function: Callable, schema: str, holds: bool = False) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, unless the session asks for a size of its own.
+
+    A worker outlives its tasks; one that is given a function which doesn't ``hold``
+    anything first drops what others have left.
+    """
     bound_batches(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in [] if holds else HELD:
+            held.clear()
         yield from function(batches)
         release_memory()
 

@@ -161,7 +161,7 @@ def pack_documents(docs: DataFrame, params: PackingParams) -> DataFrame:
     0) and, if asked for, ``ids`` (those bytes).  An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "packing")
-    placed = work.table(map_arrow(docs.select("doc_id", "text"), _pack(params), _SCHEMA), "placed")
+    placed = work.table(map_arrow(docs.select("doc_id", "text"), _pack(params), _SCHEMA, holds=True), "placed")
     done = placed.where("not open").withColumn("sequence_id", F.shiftleft("task", 32) + F.col("window"))
     left = placed.where("open").groupBy(F.expr(f"task div {params.merge_tasks}").alias("near")).applyInArrow(_merge(params), _SCHEMA)
     left = left.withColumn("sequence_id", F.shiftleft(F.col("task") + (1 << 30), 32) + F.col("window"))

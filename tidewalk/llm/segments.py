@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidewalk.llm.common import HELD
 from tidewalk.llm.shingles import _T, chunks, mix
 
 #: Distinct segments remembered by one Python worker before it starts anew.
@@ -192,6 +193,7 @@ class SegmentEncoder:
 
 
 _ENCODERS: dict[str, SegmentEncoder] = {}
+HELD.append(_ENCODERS)
 
 
 def library_encoder(path: str) -> SegmentEncoder:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewalk.llm.common import map_arrow
+from tidewalk.llm.common import HELD, map_arrow
 from tidewalk.llm.segments import SegmentEncoder, crc32
 
 SPACE = "▁"
@@ -214,6 +214,7 @@ class PieceCodec:
 
 
 _CODECS: dict[str, PieceCodec] = {}
+HELD.append(_CODECS)
 
 
 def codec(path: str) -> PieceCodec:
@@ -269,4 +270,4 @@ def encode_documents(docs: DataFrame, model_path: str, verify: bool = True, with
     ``ids`` (those bytes) and ``decoded``.
     """
     schema = "doc_id long, n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean, parity boolean" + ", ids binary, decoded string" * with_ids
-    return map_arrow(docs.select("doc_id", "text"), _run(model_path, verify, with_ids), schema)
+    return map_arrow(docs.select("doc_id", "text"), _run(model_path, verify, with_ids), schema, holds=True)

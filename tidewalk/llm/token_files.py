@@ -143,7 +143,7 @@ def write_token_files(docs: DataFrame, params: TokenFileParams, folder: str) ->
     files = params.files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("doc_id", "text").repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     work = Workspace(spark, "token-files")
-    shards = work.table(map_arrow(dealt, _write(params, folder), "shard long, path string, n_docs long, n_ids long"), "shards")
+    shards = work.table(map_arrow(dealt, _write(params, folder), "shard long, path string, n_docs long, n_ids long", holds=True), "shards")
     # One row per file, so the one task of this window is small.
     before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     return shards.withColumn("first_id", F.coalesce(before, F.lit(0)))
