@@ -15,14 +15,14 @@ POINT = {"I": (50, 50), "O": (-50, 50), "i": (0.5, 50), "o": (-0.5, 50)}
 START = datetime.datetime(2026, 5, 1, 9, 0)
 
 
-def rows(spark, paths: dict[int, list[tuple[float, float]]], step_seconds: int = 1, camera: str = "cam"):
+def rows(spark, paths: dict[int, list[tuple[float, float]]], step_seconds: int = 1, camera: str = "cam", minutes: int = 60):
     data = [(camera, track, START + datetime.timedelta(seconds=step_seconds * k), float(x), float(y)) for track, path in paths.items() for k, (x, y) in enumerate(path)]
     made = spark.createDataFrame(data, "camera_id string, track_id long, timestamp timestamp_ntz, x double, y2 double")
-    return tracks.foot_points(made.selectExpr("camera_id", "track_id", "timestamp", "x - 1 as x1", "x + 1 as x2", "y2"), 60)
+    return tracks.foot_points(made.selectExpr("camera_id", "track_id", "timestamp", "x - 1 as x1", "x + 1 as x2", "y2"), minutes)
 
 
-def entries(spark, text: str, band: float) -> int:
-    points = rows(spark, {1: [POINT[c] for c in text]})
+def entries(spark, text: str, band: float, **cut) -> int:
+    points = rows(spark, {1: [POINT[c] for c in text]}, **cut)
     return sum(r["entries"] for r in zones.count_zones(points, {"cam": [BIG]}, {"cam": band}).collect())
 
 
@@ -30,8 +30,12 @@ def entries(spark, text: str, band: float) -> int:
     ("path", "band", "want"),
     [("III", 2, 1), ("OioioIoiI", 2, 1), ("OioioI", 0, 3), ("IOI", 2, 2), ("OIIOI", 0, 2), ("O", 2, 0), ("iii", 2, 0), ("OiI", 2, 1)],
 )
-def test_entries(spark, path, band, want):
-    assert entries(spark, path, band) == want
+@pytest.mark.parametrize("step_seconds", [1, 25, 60])
+def test_entries(spark, path, band, want, step_seconds):
+    """The same however a track is cut into pieces: one piece, some rows in each, a piece per row."""
+    assert entries(spark, path, band, step_seconds=step_seconds, minutes=1 if step_seconds > 1 else 60) == want
+    points = rows(spark, {1: [POINT[c] for c in path]}, step_seconds=step_seconds)
+    assert zones.zone_entries(points, {"cam": [BIG]}, {"cam": float(band)}).count() == want
 
 
 def test_visitors_look_at_the_zone_alone(spark):
@@ -92,14 +96,16 @@ CUP = dict(name="door", points=[(0, 0), (0, 20), (30, 20), (30, 0)], inside_poin
         (DOOR, [(25, 20), (25, 0), (10, 0), (10, 20), (10, 0)], 0, (1, 1)),
     ],
 )
-@pytest.mark.parametrize("most_edges", [0, 16])
-def test_crossings(spark, monkeypatch, line, path, band, want, most_edges):
+@pytest.mark.parametrize(("most_edges", "step_seconds"), [(0, 1), (16, 1), (16, 25), (16, 60)])
+def test_crossings(spark, monkeypatch, line, path, band, want, most_edges, step_seconds):
     monkeypatch.setattr(tracks, "MOST_EDGES", most_edges)
-    got = lines.count_lines(rows(spark, {1: path}), {"cam": [Line(**line)]}, {"cam": float(band)}).collect()
+    shape = {"cam": [Line(**line)]}, {"cam": float(band)}
+    got = lines.count_lines(rows(spark, {1: path}, step_seconds=step_seconds, minutes=1 if step_seconds > 1 else 60), *shape).collect()
+    assert lines.crossings(rows(spark, {1: path}), *shape).count() == sum(want)
     assert (sum(r["in_count"] for r in got), sum(r["out_count"] for r in got)) == want
     assert all(r["line_group"] == "g" for r in got)
 
 
-def test_one_shuffle_serves_all_zones(spark):
+def test_rows_are_shuffled_once_for_all_zones(spark):
     plan = zones.count_zones(rows(spark, {1: [POINT["I"]]}), {"cam": [BIG]}, {"cam": 2.0})._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(camera_id") == 2  # rows to tracks, sums to buckets
+    assert plan.count("Exchange hashpartitioning(camera_id") == 3  # rows to pieces, pieces to tracks, sums to buckets

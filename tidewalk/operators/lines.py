@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewalk.functions import geometry as G
@@ -27,10 +27,10 @@ def line_structs(lines: list[Line], band: float) -> Column:
     )
 
 
-def with_steps(points: DataFrame) -> DataFrame:
-    """``from_x`` and ``from_y``: the track's point before, NaN for its first."""
-    track = K.by_track()
-    return points.withColumns({"from_x": F.lag("foot_x", 1, float("nan")).over(track), "from_y": F.lag("foot_y", 1, float("nan")).over(track)})
+def with_steps(points: DataFrame, window: WindowSpec | None = None) -> DataFrame:
+    """``from_x`` and ``from_y``: the track's point before, NaN for its first (or the window's)."""
+    w, nan = window or K.by_track(), float("nan")
+    return points.withColumns({"from_x": F.lag("foot_x", 1, nan).over(w), "from_y": F.lag("foot_y", 1, nan).over(w)})
 
 
 def beside_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
@@ -46,18 +46,16 @@ def beside_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[s
     return K.shapes_by_array(stepped, list(used), compute, "line_group string, line string, distance double, hit boolean, band double")
 
 
-def line_states(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
-    """Rows by line with the committed side before each, and hits up to it and up to the last row beyond the band.
-
-    Rows within the band that don't hit the line change nothing and are left out.
-    """
-    cameras = [c for c, own in lines.items() if own]
-    stepped = with_steps(points.where(F.col("camera_id").isin(cameras)))
+def sided_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
+    """Rows by line with ``hit`` and ``side``; rows within the band that don't hit the line change nothing and are left out."""
     sided = beside_lines(stepped, lines, bands).withColumn("side", G.side(F.col("distance"), F.col("band")))
-    beside = sided.where("hit or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "line_group", "line", "hit", "side")
-    window = K.by_track("line")
+    return sided.where("hit or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "line_group", "line", "hit", "side")
+
+
+def _with_history(sided: DataFrame, window: WindowSpec) -> DataFrame:
+    """``hits`` up to each row, and the committed side and the hits at its last confirmation before it."""
     upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = beside.withColumn("hits", F.sum(F.col("hit").cast("long")).over(upto))
+    hits = sided.withColumn("hits", F.sum(F.col("hit").cast("long")).over(upto))
     beyond = F.when(F.col("side").isNotNull(), F.col("hits"))
     return hits.withColumns({"before": K.committed_before(F.col("side"), window), "hits_before": K.committed_before(beyond, window)})
 
@@ -72,9 +70,49 @@ def is_crossing() -> Column:
 
 def crossings(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
     """One row per crossing: ``direction`` 1 is towards the inside point."""
-    return line_states(points, lines, bands).where(is_crossing()).select("line_group", "camera_id", "line", "track_id", "clock", "time_bucket", F.col("side").alias("direction"))
+    stepped = with_steps(points.where(F.col("camera_id").isin([c for c, own in lines.items() if own])))
+    states = _with_history(sided_lines(stepped, lines, bands), K.by_track("line"))
+    return states.where(is_crossing()).select("line_group", "camera_id", "line", "track_id", "clock", "time_bucket", F.col("side").alias("direction"))
 
 
 def count_lines(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
-    """``line_group, camera_id, line, time_bucket, in_count, out_count``; only buckets with a crossing."""
-    return crossings(points, lines, bands).groupBy("line_group", "camera_id", "line", "time_bucket").agg(F.count_if(F.col("direction") == 1).alias("in_count"), F.count_if(F.col("direction") == -1).alias("out_count"))
+    """``line_group, camera_id, line, time_bucket, in_count, out_count``; only buckets with a crossing.
+
+    Each piece of a track knows its crossings but for one: its first committed side may
+    cross, by the last side of the pieces before and the hits since, the step from piece
+    to piece among them.
+    """
+    cameras = [c for c, own in lines.items() if own]
+    together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.PIECE)
+    rows = _with_history(sided_lines(with_steps(together, K.by_piece()), lines, bands), K.by_piece("line"))
+    turn = F.when(is_crossing(), F.col("side"))
+    when = F.when(F.col("side").isNotNull(), F.struct(*K.ORDER))
+    pieces = rows.groupBy(*K.PIECE, "line_group", "line").agg(
+        F.count_if(turn == 1).alias("turns_in"),
+        F.count_if(turn == -1).alias("turns_out"),
+        F.min_by("side", when).alias("side"),
+        F.min_by("hits", when).alias("first_hits"),
+        F.max_by("side", when).alias("last"),
+        F.max_by("hits", when).alias("last_hits"),
+        F.max("hits").alias("total"),
+    )
+    # The step into a piece: from the last point of the piece before to its own first.
+    at = F.struct(*K.ORDER)
+    ends = together.groupBy(*K.PIECE).agg(*(F.min_by(c, at).alias(c) for c in ("foot_x", "foot_y")), *(F.max_by(c, at).alias(f"{c}_last") for c in ("foot_x", "foot_y")))
+    nan = float("nan")
+    ends = ends.withColumns({"from_x": F.lag("foot_x_last", 1, nan).over(K.along_pieces()), "from_y": F.lag("foot_y_last", 1, nan).over(K.along_pieces())})
+    ends = ends.withColumns({c: F.coalesce(c, F.lit(nan)) for c in ("foot_x", "foot_y")})
+    entered = beside_lines(ends, lines, bands).select(*K.PIECE, "line_group", "line", F.col("hit").cast("long").alias("step"))
+    joined = entered.join(pieces, [*K.PIECE, "line_group", "line"], "left")
+    along = K.along_pieces("line")
+    gone = along.rowsBetween(Window.unboundedPreceding, -1)
+    # Hits along the whole track: those of all pieces before, the step in, then the piece's own.
+    own = joined.withColumn("base", F.coalesce(F.sum(F.col("step") + F.coalesce("total", F.lit(0))).over(gone), F.lit(0)) + F.col("step"))
+    own = own.withColumns({"hits": F.col("base") + F.col("first_hits"), "confirmed": F.when(F.col("last").isNotNull(), F.col("base") + F.col("last_hits"))})
+    own = own.withColumns({"before": F.last("last", ignorenulls=True).over(gone), "hits_before": F.last("confirmed", ignorenulls=True).over(gone)})
+    first = F.when(F.coalesce(is_crossing(), F.lit(False)), F.col("side"))
+    counts = own.groupBy("line_group", "camera_id", "line", "time_bucket").agg(
+        F.sum(F.coalesce("turns_in", F.lit(0)) + F.when(first == 1, 1).otherwise(0)).cast("long").alias("in_count"),
+        F.sum(F.coalesce("turns_out", F.lit(0)) + F.when(first == -1, 1).otherwise(0)).cast("long").alias("out_count"),
+    )
+    return counts.where("in_count > 0 or out_count > 0")

@@ -1,9 +1,10 @@
-"""Tracking rows and the windows over each track.
+"""Tracking rows, and the windows over each track.
 
-All windows below are partitioned by (camera_id, track_id) or by that and a shape's
-name, so rows hashed once by the first two need no second shuffle: shapes are put beside
-the rows after it, and what each (shape, track, bucket) adds up to is summed before
-anything else moves.
+A track is followed in pieces, one per time bucket: rows are hashed by (camera_id,
+track_id, time_bucket), each piece is summed up to one row per shape where it lies, and
+only these rows are then put in order along the whole track.  So one track with a large
+part of all rows is many tasks' work, shapes cost no further shuffle of rows, and
+distinct tracks need no distinct aggregation.
 """
 
 from __future__ import annotations
@@ -44,10 +45,23 @@ def foot_points(tracking: DataFrame, bucket_minutes: int) -> DataFrame:
     return placed.withColumn("time_bucket", times.bucket(F.col("clock"), bucket_minutes))
 
 
+#: What rows are hashed by: a track's piece.
+PIECE = (*TRACK, "time_bucket")
+
+
 def by_track(*more: str) -> WindowSpec:
     return Window.partitionBy(*TRACK, *more).orderBy(*ORDER)
 
 
+def by_piece(*more: str) -> WindowSpec:
+    return Window.partitionBy(*PIECE, *more).orderBy(*ORDER)
+
+
+def along_pieces(*more: str) -> WindowSpec:
+    """The pieces of a track in order."""
+    return Window.partitionBy(*TRACK, *more).orderBy("time_bucket")
+
+
 def committed(side: Column, window: WindowSpec) -> Column:
     """The last side that was beyond the band, this row's included."""
     return F.last(side, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewalk.functions import geometry as G
@@ -33,36 +33,47 @@ def beside_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[st
     return K.shapes_by_array(points, list(used), compute, "zone string, inside boolean, distance double, band double")
 
 
-def zone_states(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
-    """Rows by zone: whether they are inside, beyond the band, and which side was committed before.
-
-    ``points`` are ``foot_points``; ``bands`` are actual pixels by camera.  Rows within
-    the band and outside the zone change nothing and are left out.
-    """
-    cameras = [c for c, own in zones.items() if own]
-    # One shuffle for all zones: rows meet their track first, zones come after.
-    together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.TRACK)
-    sided = beside_zones(together, zones, bands).withColumn("side", G.side_of(F.col("inside"), F.col("distance"), F.col("band")))
-    told = sided.where("inside or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "zone", "inside", "side")
-    return told.withColumn("before", K.committed_before(F.col("side"), K.by_track("zone")))
+def sided_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
+    """Rows by zone with ``inside`` and ``side``; rows within the band and outside the zone change nothing and are left out."""
+    sided = beside_zones(points, zones, bands).withColumn("side", G.side_of(F.col("inside"), F.col("distance"), F.col("band")))
+    return sided.where("inside or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "zone", "inside", "side")
 
 
-def is_entry() -> Column:
+def is_entry(before: Column | None = None) -> Column:
     """The committed side turns to inside here; a track's first sight inside counts.
 
     A row within the band leaves the committed side as it was, so only rows beyond the
     band can turn it.
     """
-    return (F.col("side") == 1) & (F.col("before").isNull() | (F.col("before") == -1))
+    before = F.col("before") if before is None else before
+    return (F.col("side") == 1) & (before.isNull() | (before == -1))
+
+
+def zone_entries(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
+    """One row per entry, with its track, frame and time."""
+    states = sided_zones(points, zones, bands).withColumn("before", K.committed_before(F.col("side"), K.by_track("zone")))
+    return states.where(is_entry()).select("camera_id", "zone", "track_id", "frame_id", "clock", "time_bucket")
 
 
 def count_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
     """``camera_id, zone, time_bucket, unique_visitors, entries``; a bucket without either has no row.
 
-    Distinct tracks are counted by first summing up each (zone, track, bucket) where its
-    rows already are, so no distinct aggregation is shuffled.
+    ``points`` are ``foot_points``; ``bands`` are actual pixels by camera.  Each piece of
+    a track knows its entries but for one: whether its first committed side is one
+    depends on the last of the pieces before.
     """
-    states = zone_states(points, zones, bands)
-    own = states.groupBy("camera_id", "track_id", "zone", "time_bucket").agg(F.max(F.col("inside").cast("int")).alias("seen"), F.count_if(is_entry()).alias("entries"))
+    cameras = [c for c, own in zones.items() if own]
+    together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.PIECE)
+    rows = sided_zones(together, zones, bands).withColumn("before", K.committed_before(F.col("side"), K.by_piece("zone")))
+    when = F.struct(*K.ORDER)
+    sided = F.when(F.col("side").isNotNull(), when)
+    pieces = rows.groupBy(*K.PIECE, "zone").agg(
+        F.max(F.col("inside").cast("int")).alias("seen"),
+        F.count_if((F.col("side") == 1) & (F.col("before") == -1)).alias("turns"),
+        F.min_by("side", sided).alias("side"),
+        F.max_by("side", sided).alias("last"),
+    )
+    along = K.along_pieces("zone").rowsBetween(Window.unboundedPreceding, -1)
+    own = pieces.withColumn("before", F.last("last", ignorenulls=True).over(along)).withColumn("entries", F.col("turns") + F.coalesce(is_entry(), F.lit(False)).cast("long"))
     out = own.groupBy("camera_id", "zone", "time_bucket").agg(F.sum("seen").cast("long").alias("unique_visitors"), F.sum("entries").cast("long").alias("entries"))
     return out.where("unique_visitors > 0 or entries > 0")

@@ -113,8 +113,7 @@ def zone_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(S.sql("select camera_id, zone, track_id, frame_id, clock from zstate where committed = 1 and (before is null or before = -1)"))
 def zone_entries(spark: SparkSession, sf: str) -> DataFrame:
-    states = zones.zone_states(S.points(spark, sf), S.ZONES, _zone_bands(spark, sf))
-    return states.where(zones.is_entry()).select("camera_id", "zone", "track_id", "frame_id", "clock")
+    return zones.zone_entries(S.points(spark, sf), S.ZONES, _zone_bands(spark, sf)).drop("time_bucket")
 
 
 @query(S.sql("select camera_id, frame_id, line, round(signed_d, 6) + 0.0 as signed_d from ls"))
