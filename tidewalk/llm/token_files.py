@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.llm.common import Workspace, map_arrow
@@ -131,6 +131,9 @@ def _write(params: TokenFileParams, folder: str):
     return run
 
 
+_SHARD = "shard long, path string, n_docs long, n_ids long"
+
+
 def write_token_files(docs: DataFrame, params: TokenFileParams, folder: str) -> DataFrame:
     """Write the ids of all documents to ``folder``; returns one row per file: shard, path, n_docs, n_ids, first_id.
 
@@ -142,11 +145,13 @@ def write_token_files(docs: DataFrame, params: TokenFileParams, folder: str) ->
     spark = docs.sparkSession
     files = params.files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("doc_id", "text").repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    work = Workspace(spark, "token-files")
-    shards = work.table(map_arrow(dealt, _write(params, folder), "shard long, path string, n_docs long, n_ids long", holds=True), "shards")
-    # One row per file, so the one task of this window is small.
-    before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    return shards.withColumn("first_id", F.coalesce(before, F.lit(0)))
+    # One row per file; their number is set above, not by the data.
+    shards = map_arrow(dealt, _write(params, folder), _SHARD, holds=True).collect()
+    rows, before = [], 0
+    for s in sorted(shards, key=lambda s: s["shard"]):
+        rows.append((*s, before))
+        before += s["n_ids"]
+    return spark.createDataFrame(rows, f"{_SHARD}, first_id long")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,8 +174,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_token_files(shards: DataFrame) -> DataFrame:
     """What the files hold, by document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``."""
-    spread = shards.select("path", "first_id").repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
-    return map_arrow(spread, _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(shards.select("path", "first_id"), _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file_folder(spark: SparkSession) -> str:
