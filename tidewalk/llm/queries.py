@@ -30,6 +30,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), JaccardParams(words=3, percent=90))
 
 
+OP1_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+),
+sets as (
+  select doc_id, list_distinct(case when coalesce(len(w), 0) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s from words
+),
+sizes as (select doc_id, len(s)::bigint as n from sets),
+members as (select doc_id, unnest(s) as t from sets),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from members a join members b on a.t = b.t and a.doc_id < b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 90 * (x.n + y.n - k)),
+edges as (select a, b from links union all select b, a from links),
+reach(doc_id, c) as (select doc_id, doc_id from sizes union select e.b, r.c from reach r join edges e on e.a = r.doc_id)
+select doc_id, n as n_shingles, min(c) as component_id from sizes join reach using (doc_id) group by all
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 ids."""
     return pack_documents(table(spark, sf_dir, "documents"), PackingParams(tokenizer_path("byte_bpe_50k.json")))
@@ -123,4 +141,4 @@ QUERIES = {
     "op9_html_layout": op9_html_layout,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES: dict[str, str] = {"op8_chat_format": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_ngram_jaccard_join": OP1_SQL, "op8_chat_format": OP8_SQL}
