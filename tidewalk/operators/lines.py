@@ -47,9 +47,8 @@ def beside_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[s
 
 
 def sided_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
-    """Rows by line with ``hit`` and ``side``; rows within the band that don't hit the line change nothing and are left out."""
-    sided = beside_lines(stepped, lines, bands).withColumn("side", G.side(F.col("distance"), F.col("band")))
-    return sided.where("hit or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "line_group", "line", "hit", "side")
+    """Rows by line with ``hit`` and ``side``."""
+    return beside_lines(stepped, lines, bands).withColumn("side", G.side(F.col("distance"), F.col("band"))).drop("distance", "band")
 
 
 def _with_history(sided: DataFrame, window: WindowSpec) -> DataFrame:
@@ -71,7 +70,9 @@ def is_crossing() -> Column:
 def crossings(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
     """One row per crossing: ``direction`` 1 is towards the inside point."""
     stepped = with_steps(points.where(F.col("camera_id").isin([c for c, own in lines.items() if own])))
-    states = _with_history(sided_lines(stepped, lines, bands), K.by_track("line"))
+    # Rows within the band that don't hit the line change nothing.
+    told = sided_lines(stepped, lines, bands).where("hit or side is not null").drop("foot_x", "foot_y", "from_x", "from_y")
+    states = _with_history(told, K.by_track("line"))
     return states.where(is_crossing()).select("line_group", "camera_id", "line", "track_id", "clock", "time_bucket", F.col("side").alias("direction"))
 
 
@@ -84,9 +85,14 @@ def count_lines(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str
     """
     cameras = [c for c, own in lines.items() if own]
     together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.PIECE)
-    rows = _with_history(sided_lines(with_steps(together, K.by_piece()), lines, bands), K.by_piece("line"))
+    whole = K.by_piece().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stepped = with_steps(together, K.by_piece()).withColumns({"end_x": F.last("foot_x").over(whole), "end_y": F.last("foot_y").over(whole)})
+    # A piece's first row stays even if it says nothing: the step into the piece ends there.
+    told = sided_lines(stepped, lines, bands).where("hit or side is not null or isnan(from_x)")
+    rows = _with_history(told, K.by_piece("line"))
     turn = F.when(is_crossing(), F.col("side"))
-    when = F.when(F.col("side").isNotNull(), F.struct(*K.ORDER))
+    at = F.struct(*K.ORDER)
+    when = F.when(F.col("side").isNotNull(), at)
     pieces = rows.groupBy(*K.PIECE, "line_group", "line").agg(
         F.count_if(turn == 1).alias("turns_in"),
         F.count_if(turn == -1).alias("turns_out"),
@@ -95,24 +101,27 @@ def count_lines(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str
         F.max_by("side", when).alias("last"),
         F.max_by("hits", when).alias("last_hits"),
         F.max("hits").alias("total"),
+        *(F.min_by(c, at).alias(c) for c in ("foot_x", "foot_y")),
+        *(F.max(c).alias(c) for c in ("end_x", "end_y")),
     )
     # The step into a piece: from the last point of the piece before to its own first.
-    at = F.struct(*K.ORDER)
-    ends = together.groupBy(*K.PIECE).agg(*(F.min_by(c, at).alias(c) for c in ("foot_x", "foot_y")), *(F.max_by(c, at).alias(f"{c}_last") for c in ("foot_x", "foot_y")))
-    nan = float("nan")
-    ends = ends.withColumns({"from_x": F.lag("foot_x_last", 1, nan).over(K.along_pieces()), "from_y": F.lag("foot_y_last", 1, nan).over(K.along_pieces())})
-    ends = ends.withColumns({c: F.coalesce(c, F.lit(nan)) for c in ("foot_x", "foot_y")})
-    entered = beside_lines(ends, lines, bands).select(*K.PIECE, "line_group", "line", F.col("hit").cast("long").alias("step"))
-    joined = entered.join(pieces, [*K.PIECE, "line_group", "line"], "left")
+    before, nan = K.along_pieces("line"), float("nan")
+    joined = pieces.withColumns({"from_x": F.lag("end_x", 1, nan).over(before), "from_y": F.lag("end_y", 1, nan).over(before)})
+    step = F.lit(None)
+    for camera in cameras:
+        for g in lines[camera]:
+            met = G.crosses_line(F.col("from_x"), F.col("from_y"), F.col("foot_x"), F.col("foot_y"), g)
+            step = F.when((F.col("camera_id") == camera) & (F.col("line") == g.name), met).otherwise(step)
+    joined = joined.withColumn("step", F.coalesce(step, F.lit(False)).cast("long"))
     along = K.along_pieces("line")
     gone = along.rowsBetween(Window.unboundedPreceding, -1)
     # Hits along the whole track: those of all pieces before, the step in, then the piece's own.
-    own = joined.withColumn("base", F.coalesce(F.sum(F.col("step") + F.coalesce("total", F.lit(0))).over(gone), F.lit(0)) + F.col("step"))
+    own = joined.withColumn("base", F.coalesce(F.sum(F.col("step") + F.col("total")).over(gone), F.lit(0)) + F.col("step"))
     own = own.withColumns({"hits": F.col("base") + F.col("first_hits"), "confirmed": F.when(F.col("last").isNotNull(), F.col("base") + F.col("last_hits"))})
     own = own.withColumns({"before": F.last("last", ignorenulls=True).over(gone), "hits_before": F.last("confirmed", ignorenulls=True).over(gone)})
     first = F.when(F.coalesce(is_crossing(), F.lit(False)), F.col("side"))
     counts = own.groupBy("line_group", "camera_id", "line", "time_bucket").agg(
-        F.sum(F.coalesce("turns_in", F.lit(0)) + F.when(first == 1, 1).otherwise(0)).cast("long").alias("in_count"),
-        F.sum(F.coalesce("turns_out", F.lit(0)) + F.when(first == -1, 1).otherwise(0)).cast("long").alias("out_count"),
+        F.sum(F.col("turns_in") + F.when(first == 1, 1).otherwise(0)).cast("long").alias("in_count"),
+        F.sum(F.col("turns_out") + F.when(first == -1, 1).otherwise(0)).cast("long").alias("out_count"),
     )
     return counts.where("in_count > 0 or out_count > 0")

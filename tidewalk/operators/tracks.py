@@ -76,21 +76,27 @@ def committed_before(side: Column, window: WindowSpec) -> Column:
 MOST_EDGES = 16
 
 
-def shapes_beside(points: DataFrame, per_camera: dict[str, Column], name: str) -> DataFrame:
+def per_camera(values: dict[str, Column]) -> Column:
+    """The column of the row's camera; null for cameras without one."""
+    chosen = F.lit(None)
+    for camera, value in values.items():
+        chosen = F.when(F.col("camera_id") == camera, value).otherwise(chosen)
+    return chosen
+
+
+def shapes_beside(points: DataFrame, shapes: dict[str, Column], name: str) -> DataFrame:
     """Each row once for each shape of its camera, the shape's struct in column ``name``; rows of other cameras go.
 
-    The shapes of a camera are computed in one pass over its rows, in a projection of
-    their own below the row generator.
+    The shapes of a camera are computed in one pass over its rows.  The outer form of
+    explode is used because Spark puts a filter on the exploded array below the plain
+    one, and would compute all shapes twice.
     """
-    chosen = F.lit(None)
-    for camera, shapes in per_camera.items():
-        chosen = F.when(F.col("camera_id") == camera, shapes).otherwise(chosen)
-    kept = points.where(F.col("camera_id").isin(list(per_camera)))
-    return kept.withColumn("_shapes", chosen).withColumn(name, F.explode("_shapes")).drop("_shapes")
+    kept = points.where(F.col("camera_id").isin(list(shapes)))
+    return kept.withColumn("_shapes", per_camera(shapes)).withColumn(name, F.explode_outer("_shapes")).drop("_shapes")
 
 
 def shapes_by_array(points: DataFrame, cameras: list[str], compute: Callable[[str, pd.DataFrame], list[pd.DataFrame]], added: str) -> DataFrame:
-    """The same on arrays: ``compute`` gives a camera's rows with the ``added`` columns, once for each shape."""
+    """On arrays: ``compute`` gives a camera's rows with the ``added`` columns, as often as there are to be rows."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

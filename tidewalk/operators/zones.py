@@ -55,6 +55,39 @@ def zone_entries(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[st
     return states.where(is_entry()).select("camera_id", "zone", "track_id", "frame_id", "clock", "time_bucket")
 
 
+# What a row is to a zone, in one byte.
+BEYOND_INSIDE, WITHIN_INSIDE, WITHIN_OUTSIDE, BEYOND_OUTSIDE = 2, 1, 0, -1
+
+
+def with_codes(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
+    """Rows with ``codes``: for each zone of their camera, in order, what they are to it; foot points go.
+
+    This is computed where rows are read, so that only codes are shuffled.
+    """
+    x, y = F.col("foot_x"), F.col("foot_y")
+    used = {c: own for c, own in zones.items() if own}
+    columns = [c for c in points.columns if c not in ("foot_x", "foot_y")]
+    if sum(len(z.polygon) for own in used.values() for z in own) <= K.MOST_EDGES:
+
+        def code(z: Zone, band: float) -> Column:
+            beyond = G.polygon_distance(x, y, z) > F.lit(float(band))
+            inside, outside = F.when(beyond, BEYOND_INSIDE).otherwise(WITHIN_INSIDE), F.when(beyond, BEYOND_OUTSIDE).otherwise(WITHIN_OUTSIDE)
+            return F.when(G.in_polygon(x, y, z), inside).otherwise(outside).cast("tinyint")
+
+        coded = points.where(F.col("camera_id").isin(list(used))).withColumn("codes", K.per_camera({c: F.array(*[code(z, bands[c]) for z in own]) for c, own in used.items()}))
+        return coded.select(*columns, "codes")
+
+    def compute(camera: str, rows: pd.DataFrame) -> list[pd.DataFrame]:
+        px, py, codes = rows["foot_x"].to_numpy(), rows["foot_y"].to_numpy(), []
+        for z in used[camera]:
+            signed, inside = G.np_signed_polygon_distance(px, py, z), G.np_in_polygon(px, py, z)
+            beyond = np.abs(signed) > bands[camera]
+            codes.append(np.where(inside, np.where(beyond, BEYOND_INSIDE, WITHIN_INSIDE), np.where(beyond, BEYOND_OUTSIDE, WITHIN_OUTSIDE)))
+        return [rows.assign(codes=list(np.stack(codes, axis=1).astype(np.int8)))]
+
+    return K.shapes_by_array(points, list(used), compute, "codes array<tinyint>").select(*columns, "codes")
+
+
 def count_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
     """``camera_id, zone, time_bucket, unique_visitors, entries``; a bucket without either has no row.
 
@@ -62,18 +95,19 @@ def count_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str
     a track knows its entries but for one: whether its first committed side is one
     depends on the last of the pieces before.
     """
-    cameras = [c for c, own in zones.items() if own]
-    together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.PIECE)
-    rows = sided_zones(together, zones, bands).withColumn("before", K.committed_before(F.col("side"), K.by_piece("zone")))
-    when = F.struct(*K.ORDER)
-    sided = F.when(F.col("side").isNotNull(), when)
-    pieces = rows.groupBy(*K.PIECE, "zone").agg(
-        F.max(F.col("inside").cast("int")).alias("seen"),
+    together = with_codes(points, zones, bands).repartition(*K.PIECE)
+    coded = together.select(*K.PIECE, *K.ORDER, F.posexplode_outer("codes").alias("at", "code")).where(F.col("code") != WITHIN_OUTSIDE)
+    rows = coded.withColumn("side", F.when(F.col("code") == BEYOND_INSIDE, 1).when(F.col("code") == BEYOND_OUTSIDE, -1))
+    rows = rows.withColumn("before", K.committed_before(F.col("side"), K.by_piece("at")))
+    sided = F.when(F.col("side").isNotNull(), F.struct(*K.ORDER))
+    pieces = rows.groupBy(*K.PIECE, "at").agg(
+        F.max((F.col("code") > 0).cast("int")).alias("seen"),
         F.count_if((F.col("side") == 1) & (F.col("before") == -1)).alias("turns"),
         F.min_by("side", sided).alias("side"),
         F.max_by("side", sided).alias("last"),
     )
-    along = K.along_pieces("zone").rowsBetween(Window.unboundedPreceding, -1)
+    along = K.along_pieces("at").rowsBetween(Window.unboundedPreceding, -1)
     own = pieces.withColumn("before", F.last("last", ignorenulls=True).over(along)).withColumn("entries", F.col("turns") + F.coalesce(is_entry(), F.lit(False)).cast("long"))
-    out = own.groupBy("camera_id", "zone", "time_bucket").agg(F.sum("seen").cast("long").alias("unique_visitors"), F.sum("entries").cast("long").alias("entries"))
-    return out.where("unique_visitors > 0 or entries > 0")
+    names = K.per_camera({c: F.array(*[F.lit(z.name) for z in shapes]) for c, shapes in zones.items() if shapes})
+    out = own.groupBy("camera_id", "at", "time_bucket").agg(F.sum("seen").cast("long").alias("unique_visitors"), F.sum("entries").cast("long").alias("entries"))
+    return out.where("unique_visitors > 0 or entries > 0").select("camera_id", F.element_at(names, F.col("at") + 1).alias("zone"), "time_bucket", "unique_visitors", "entries")
