@@ -40,6 +40,9 @@ def assign(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
     rows, cols = cost.shape
     if not rows or not cols:
         return []
+    if rows == 1:
+        c = int(np.argmin(cost[0]))
+        return [(0, c)] if cost[0, c] <= limit else []
     if rows > cols:
         return [(r, c) for c, r in assign(cost.T, limit)]
     # Over the limit, being unmatched is as good as any: each row also has a private dummy.
@@ -130,6 +133,14 @@ class CameraTracker:
         return out
 
 
+def _frame_starts(rows: pd.DataFrame) -> np.ndarray:
+    """Whether each row begins a frame: another camera or time than the row before."""
+    names, times = rows["camera_id"].to_numpy(), rows["timestamp"].to_numpy()
+    starts = np.ones(len(rows), dtype=bool)
+    starts[1:] = (names[1:] != names[:-1]) | (times[1:] != times[:-1])
+    return starts
+
+
 def track_detections(detections: DataFrame, settings: TrackerSettings, classes: list[int] | None = None) -> DataFrame:
     """Tracked boxes: the detections with ``track_id``, without boxes that belong to no track.
 
@@ -142,26 +153,32 @@ def track_detections(detections: DataFrame, settings: TrackerSettings, classes:
     kinds = shape | {"track_id": "long"}
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        camera, tracker, held = None, None, []
-
-        def done(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.assign(track_id=tracker.update(frame[_BOX].to_numpy(float), frame["score"].to_numpy(float)))
-            return frame[frame["track_id"] > 0][COLUMNS]
+        camera, tracker, held = None, None, None
+
+        def tracked(rows: pd.DataFrame, stop: int) -> pd.DataFrame:
+            """The frames of the first ``stop`` rows, tracked; arrays throughout, one table out."""
+            nonlocal camera, tracker
+            names, boxes, scores = rows["camera_id"].to_numpy(), rows[_BOX].to_numpy(float), rows["score"].to_numpy(float)
+            numbers = np.zeros(stop, np.int64)
+            cuts = [*np.flatnonzero(_frame_starts(rows)).tolist(), len(rows)]
+            for first, beyond in zip(cuts[:-1], cuts[1:], strict=True):
+                if first >= stop:
+                    break
+                if tracker is None or names[first] != camera:
+                    camera, tracker = names[first], CameraTracker(settings)
+                numbers[first:beyond] = tracker.update(boxes[first:beyond], scores[first:beyond])
+            return rows.iloc[:stop].assign(track_id=numbers).loc[numbers > 0, COLUMNS]
 
         for part in parts:
-            part = pd.concat([*held, part]) if held else part
+            part = part if held is None else pd.concat([held, part], ignore_index=True)
+            if not len(part):
+                continue
             # The last frame may go on in the next batch.
-            last = (part["camera_id"] == part["camera_id"].iloc[-1]) & (part["timestamp"] == part["timestamp"].iloc[-1])
-            held = [part[last]]
-            for (name, _), frame in part[~last].groupby(["camera_id", "timestamp"], sort=False):
-                if name != camera:
-                    camera, tracker = name, CameraTracker(settings)
-                yield done(frame)
-        for frame in held:
-            if len(frame):
-                if frame["camera_id"].iloc[0] != camera:
-                    tracker = CameraTracker(settings)
-                yield done(frame)
+            last = int(np.flatnonzero(_frame_starts(part))[-1])
+            yield tracked(part, last)
+            held = part.iloc[last:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield tracked(held, len(held))
 
     ordered = detections.repartition("camera_id").sortWithinPartitions("camera_id", "timestamp", "frame_id", "x1", "y1")
     return ordered.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in COLUMNS))
