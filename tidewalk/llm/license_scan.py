@@ -15,10 +15,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import Workspace, ascii_lower
+from tidewalk.llm.common import ascii_lower
 
 # Base phrases and their labels.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -124,7 +125,7 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None) -> DataF
     of weight, 1 where a base phrase stands).  An empty table gives no rows.
     """
     params = params or LicenseParams()
-    spark, work = docs.sparkSession, Workspace(docs.sparkSession, "licenses")
+    spark = docs.sparkSession
     words_of = vocabulary()
     spaced = F.trim(ascii_lower(F.regexp_replace(F.coalesce("text", F.lit("")), _BETWEEN, " ")))
     text = docs.select("doc_id", _once(spaced).alias("spaced"))
@@ -142,7 +143,9 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None) -> DataF
         F.when(F.size("hits") > 0, _base_places(F.col("words"), F.col("hits"))).alias("base"),
         F.when(F.size("hits") > 0, held).alias("phrases"),
     )
-    scanned = work.table(scanned, "scanned")
+    # Kept on the executors' disks: one scan away from its source, so a lost part is soon
+    # made again, and with the same row numbers, which count within the source's splits.
+    scanned = scanned.persist(StorageLevel.DISK_ONLY)
 
     # Document frequencies: one row per indexed word.
     total = scanned.count()
