@@ -13,7 +13,7 @@ from tests.test_oracles import same_rows
 from tidewalk.llm import queries
 from tidewalk.llm.chat_trees import format_conversations, format_paths, loss_text, parse_turns, reply_paths
 from tidewalk.llm.html_layout import extract_pages, render_page
-from tidewalk.llm.license_scan import BASE_PHRASES, scan_licenses
+from tidewalk.llm.license_scan import BASE_PHRASES, TEMPLATES, scan_licenses, vocabulary
 from tidewalk.llm.quality_classifier import ClassifierParams, fit_classifier, grade_documents, keep_good_documents, label_grade
 from tidewalk.llm.quality_rules import VoteModel, judge_documents, keep_well_formed_documents
 
@@ -120,6 +120,18 @@ def test_licences(spark, sf_dir):
     assert scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_licences_do_not_depend_on_a_files_other_words(spark):
+    common = [["mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"], ["all-rights-reserved", "All rights reserved."]]
+    every = {label: ". ".join(texts) for label, texts in TEMPLATES.items()}
+    rare = " ".join(w for w in vocabulary() if w not in re.findall("[a-z0-9]+", " ".join(t for _, t in common).lower()))
+    # Many files make the two licences' words common ones, so a file's rare words rank before them.
+    rows = [("plain", " ".join(t for _, t in common))] * 40 + [("rare", "\n".join([rare, *(t for _, t in common), rare])), ("every", "\n".join(every.values()))]
+    got = {r["id"]: r["labels"] for r in scan_licenses(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], SCHEMA)).selectExpr("doc_id as id", "labels").collect()}
+    for k, (name, _) in enumerate(rows):
+        wanted = set(every) if name == "every" else {label for label, _ in common}
+        assert set(got[k].split(",")) >= wanted, (name, wanted - set(got[k].split(",")))
+
+
 def test_native_operators_run_no_python(spark, sf_dir):
     for name in ("op5_license_scan", "op8_chat_format"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -1,10 +1,11 @@
-"""Licence scans by a positional index of rare licence words, with DataFrame operations alone.
+"""Licence scans by a positional index of licence words, with DataFrame operations alone.
 
 Each licence has templates (its notice, the opening of its text) and key phrases.  The
-templates' words, but for common ones, are indexed by place.  A file's licence words of
-the highest inverse document frequency are looked up in that index; a template whose
-words keep their distances in the file collects their weight at one offset.  It counts
-where it collects enough and where the licence's mandatory key phrases stand in the file.
+templates' words, but for common ones, are indexed by place and weighted by inverse
+document frequency.  Where a licence's mandatory key phrases stand in a file, all the
+file's licence words are looked up in that index; a template whose words keep their
+distances in the file collects their weight at one offset, and counts where it collects
+enough.  What else a file says changes nothing in that.
 
 Inverse document frequencies are counted over all files.  Beside that, plain base
 phrases are found wherever their words stand in a row.
@@ -14,6 +15,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -77,9 +80,8 @@ _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class LicenseParams:
-    """``lookups``: how many of a file's distinct licence words are looked up; ``coverage``: share of a template's weight that must stand at one offset."""
+    """``coverage``: share of a template's weight that must stand at one offset."""
 
-    lookups: int = 24
     coverage: float = 0.7
 
 
@@ -94,6 +96,14 @@ def _once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
+def _all(conditions: list[Column]) -> Column:
+    return reduce(and_, conditions)
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(or_, conditions)
+
+
 def _holds(padded: Column, phrase: str) -> Column:
     return padded.contains(f" {phrase} ")
 
@@ -153,22 +163,21 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None) -> DataF
     often = {r["word"]: r["files"] for r in seen.groupBy("word").agg(F.count("*").alias("files")).collect()}
     weight = {w: math.log(1 + (total + 1) / (often.get(w, 0) + 0.5)) for w in words_of}
     postings = [
-        (w, label, k, t_place, weight[w], weight[w] / sum(weight[x] for x in t.split() if x in weight))
+        (w, label, k, t_place, weight[w] / sum(weight[x] for x in t.split() if x in weight))
         for label, texts in TEMPLATES.items()
         for k, t in enumerate(texts)
         for t_place, w in enumerate(t.split())
         if w in weight
     ]
-    index = F.broadcast(spark.createDataFrame(postings, "word string, label string, template int, at int, weight double, share double"))
-
-    # A file's words of the highest weight, all their places, and the offsets that these imply.
-    ranked = F.array(*[F.lit(w) for w in sorted(words_of, key=lambda w: (-weight[w], w))])
-    rare = scanned.where("size(hits) > 0").select("row", "phrases", "hits", F.slice(F.array_intersect(ranked, F.transform("hits", lambda h: h["word"])), 1, params.lookups).alias("rare"))
-    looked = rare.select("row", "phrases", F.inline(F.filter("hits", lambda h: F.array_contains("rare", h["word"]))))
-    votes = looked.join(index, "word").groupBy("row", "label", "template", (F.col("place") - F.col("at")).alias("offset")).agg(F.sum("share").alias("share"), F.first("phrases").alias("phrases"))
-    keys = spark.createDataFrame([(label, ways) for label, ways in KEY_PHRASES.items()], "label string, ways array<array<string>>")
-    near = votes.where(F.col("share") >= params.coverage).join(F.broadcast(keys), "label")
-    sure = near.where(F.exists("ways", lambda way: F.forall(way, lambda p: F.array_contains("phrases", p))))
+    index = F.broadcast(spark.createDataFrame(postings, "word string, label string, template int, at int, share double"))
+
+    # Licences whose key phrases stand in the file, all places of indexed words there, and the offsets that these imply.
+    met = [F.when(_any([_all([F.array_contains("phrases", p) for p in way]) for way in ways]), F.lit(label)) for label, ways in KEY_PHRASES.items()]
+    likely = scanned.where("size(phrases) > 0").select("row", "hits", _once(F.array_compact(F.array(*met))).alias("likely")).where("size(likely) > 0")
+    looked = likely.select("row", "likely", F.inline("hits"))
+    votes = looked.join(index, "word").where(F.array_contains("likely", F.col("label")))
+    votes = votes.groupBy("row", "label", "template", (F.col("place") - F.col("at")).alias("offset")).agg(F.sum("share").alias("share"))
+    sure = votes.where(F.col("share") >= params.coverage)
     named = sure.groupBy("row").agg(F.collect_set("label").alias("more"), F.least(F.max("share"), F.lit(1.0)).alias("best"))
 
     base_labels = F.array_sort(F.array_distinct(F.transform(F.coalesce("base", F.array().cast("array<struct<start:bigint,label:string>>")), lambda b: b["label"])))
