@@ -59,6 +59,66 @@ def test_cameras_are_tracked_apart(spark):
     assert {tuple(r) for r in got} == {("a", 1, 10), ("b", 1, 10)}
 
 
+def test_frames_without_a_box_age_tracks():
+    rng, box, none = np.random.default_rng(5), np.array([[0, 0, 50, 100.0]]), np.zeros((0, 4))
+    for gap, same in ((30, True), (31, False), (500, False)):
+        tracker = CameraTracker(TrackerSettings())
+        tracker.update(box, np.array([0.9]))
+        tracker.skip(gap)
+        assert bool(tracker.update(box, np.array([0.9]))[0] == 1) is same
+    one, other = CameraTracker(TrackerSettings()), CameraTracker(TrackerSettings())
+    for _ in range(60):
+        gap, boxes = int(rng.integers(0, 40)), np.sort(rng.uniform(0, 100, (3, 2, 2)), axis=1).reshape(3, 4)
+        for _ in range(gap):
+            one.update(none, np.zeros(0))
+        other.skip(gap)
+        scores = rng.uniform(0, 1, 3)
+        assert one.update(boxes, scores).tolist() == other.update(boxes, scores).tolist()
+
+
+def test_empty_frames_come_with_the_detections(spark):
+    start = datetime.datetime(2026, 5, 1, 9)
+    # Somebody leaves at frame 9 and another one comes to the same place 100 frames later; camera b has no gap.
+    seen = {"a": [*range(10), *range(110, 120)], "b": [*range(20)]}
+    rows = [(cam, k, start + datetime.timedelta(seconds=k), 0.0, 0.0, 50.0, 100.0, 0.3 if k % 5 == 4 else 0.9, 1920, 1080, 2) for cam, own in seen.items() for k in own]
+    rows.append(("a", 50, start + datetime.timedelta(seconds=50), 0.0, 0.0, 50.0, 100.0, 0.9, 1920, 1080, 7))  # another class
+    boxes = spark.createDataFrame(rows, "camera_id string, frame_id long, timestamp timestamp_ntz, x1 double, y1 double, x2 double, y2 double, score double, frame_width long, frame_height long, cls int")
+    every = spark.createDataFrame([(cam, k, start + datetime.timedelta(seconds=k)) for cam, n in (("a", 120), ("b", 20)) for k in range(n)], "camera_id string, frame_id long, timestamp timestamp_ntz")
+    got = track_detections(boxes, TrackerSettings(), [2], every)
+    assert got.columns == track_detections(boxes, TrackerSettings(), [2]).columns and got.where("frame_width is null or score is null").count() == 0
+    assert {tuple(r) for r in got.groupBy("camera_id", "track_id").count().collect()} == {("a", 1, 10), ("a", 2, 10), ("b", 1, 20)}
+
+
+def test_the_query_has_empty_frames_and_faint_boxes(spark, sf_dir):
+    from tidewalk.plans import registry
+
+    # A walk ends at each pause and, at x 0, at each turn: nobody is met again after 40 empty frames.
+    got = registry.QUERIES["byte_track"](spark, sf_dir).toPandas()
+    assert got["frames"].max() <= 50 and (got["frames"] > 40).any()
+
+
+def late_walkers(frames):
+    """Boxes in the first frame of each segment and in its last."""
+    return box_of_each_frame(frames.where("frame_id in (0, 59)"))
+
+
+def long_decoder(path: str):
+    return 4, 6, 2.0, iter(np.zeros((60, 4, 6), np.uint8))
+
+
+def test_a_day_counts_frames_without_a_box(spark, tmp_path):
+    root = tmp_path / "bucket"
+    folder = root / "loc_cam/2026/07/08"
+    folder.mkdir(parents=True)
+    for n in ("030000.000Z.mkv", "040000.000Z.mkv"):
+        (folder / n).touch()
+    (root / "camera_registry.yaml").write_text(yaml.safe_dump({"bucket_name": "bucket", "storage": {}, "cameras": [{"camera_id": "cam", "location": "loc", "ip": "x"}]}))
+    done = daily.analyze_daily(spark, datetime.date(2026, 7, 8), str(root), late_walkers, decoder=f"{__name__}:long_decoder", output_root=tmp_path / "out")
+    rows = spark.read.parquet(done.tracking_path).orderBy("timestamp").collect()
+    # 58 empty frames end a track; the next segment goes on without a frame between.
+    assert [(r["frame_id"], r["track_id"]) for r in rows] == [(0, 1), (59, 2), (0, 2), (59, 3)]
+
+
 def fake_decoder(path: str):
     return 4, 6, 2.0, iter(np.zeros((3, 4, 6), np.uint8))
 

@@ -2,7 +2,8 @@
 
 Each frame's boxes are matched to the tracks' predicted boxes in two rounds, confident
 boxes first, then faint ones for tracks still unmatched; confident boxes that are left
-begin tracks.  A track that stays unmatched for ``track_buffer`` frames ends.
+begin tracks.  A track that stays unmatched for ``track_buffer`` frames ends.  Frames
+without a box count as well: they come as rows without a score.
 
 Rows of a camera arrive in order of time, so a task keeps one camera's open tracks and
 one frame's boxes at a time, however long the day.
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewalk.config import TrackerSettings
 
@@ -100,6 +102,11 @@ class CameraTracker:
     def __init__(self, settings: TrackerSettings) -> None:
         self.settings, self.tracks, self.next, self.frame = settings, [], 1, 0
 
+    def skip(self, frames: int) -> None:
+        """The same as so many updates without a box."""
+        self.frame += frames
+        self.tracks = [t for t in self.tracks if t.confirmed and self.frame - t.frame <= self.settings.track_buffer]
+
     def update(self, boxes: np.ndarray, scores: np.ndarray) -> np.ndarray:
         """Track numbers of one frame's boxes, 0 where a box belongs to none."""
         s, out = self.settings, np.zeros(len(boxes), np.int64)
@@ -141,16 +148,25 @@ def _frame_starts(rows: pd.DataFrame) -> np.ndarray:
     return starts
 
 
-def track_detections(detections: DataFrame, settings: TrackerSettings, classes: list[int] | None = None) -> DataFrame:
+def track_detections(detections: DataFrame, settings: TrackerSettings, classes: list[int] | None = None, frames: DataFrame | None = None) -> DataFrame:
     """Tracked boxes: the detections with ``track_id``, without boxes that belong to no track.
 
     ``detections`` has camera_id, frame_id, timestamp, x1, y1, x2, y2, score,
     frame_width, frame_height and, for ``classes``, cls.  Cameras are independent.
+    ``frames`` has camera_id, frame_id and timestamp of all frames, those without a box
+    included (repeats do no harm); where it is None, only frames of ``detections`` are
+    known, so tracks don't age while nothing is seen.
     """
     if classes is not None:
         detections = detections.where(detections["cls"].isin(classes))
     shape = {f.name: f.dataType.simpleString() for f in detections.schema.fields}
     kinds = shape | {"track_id": "long"}
+    detections = detections.select(*[c for c in COLUMNS if c != "track_id"])
+    if frames is not None:
+        # A camera's frames, those of boxes of other classes included, as rows without a score.
+        blank = {c: F.lit(None if c == "score" else 0).cast(shape[c]) for c in shape if c in COLUMNS}
+        known = {c: F.col(c).cast(shape[c]) for c in ("camera_id", "frame_id", "timestamp")}
+        detections = detections.unionByName(frames.select(*[column.alias(c) for c, column in (blank | known).items()]))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         camera, tracker, held = None, None, None
@@ -159,14 +175,18 @@ def track_detections(detections: DataFrame, settings: TrackerSettings, classes:
             """The frames of the first ``stop`` rows, tracked; arrays throughout, one table out."""
             nonlocal camera, tracker
             names, boxes, scores = rows["camera_id"].to_numpy(), rows[_BOX].to_numpy(float), rows["score"].to_numpy(float)
-            numbers = np.zeros(stop, np.int64)
+            numbers, real = np.zeros(stop, np.int64), ~np.isnan(scores)
             cuts = [*np.flatnonzero(_frame_starts(rows)).tolist(), len(rows)]
             for first, beyond in zip(cuts[:-1], cuts[1:], strict=True):
                 if first >= stop:
                     break
                 if tracker is None or names[first] != camera:
                     camera, tracker = names[first], CameraTracker(settings)
-                numbers[first:beyond] = tracker.update(boxes[first:beyond], scores[first:beyond])
+                some = first + np.flatnonzero(real[first:beyond])
+                if len(some):
+                    numbers[some] = tracker.update(boxes[some], scores[some])
+                else:
+                    tracker.skip(1)
             return rows.iloc[:stop].assign(track_id=numbers).loc[numbers > 0, COLUMNS]
 
         for part in parts:

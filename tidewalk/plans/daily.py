@@ -118,7 +118,9 @@ def analyze_daily(
     frame_source.register(spark)
     reader = spark.read.format(frame_source.FrameSource.name()).option("days", json.dumps(days))
     frames = (reader.option("decoder", decoder) if decoder else reader).load()
-    tracked = track_detections(detector(frames), tracker or TrackerSettings())
+    # Frames without a box age tracks too; they are read apart, without pixels, since detectors give boxes only.
+    every = reader.option("pixels", "false").load().select("camera_id", "frame_id", "timestamp")
+    tracked = track_detections(detector(frames), tracker or TrackerSettings(), frames=every)
     path = f"{day_folder(output_root, bucket_dir, date)}/{TRACKING_FILE}"
     rows = tracked.withColumn("timestamp", times.instant(F.col("timestamp"))) if dict(tracked.dtypes)["timestamp"] == "timestamp_ntz" else tracked
     store.publish(rows, path, TRACKING)

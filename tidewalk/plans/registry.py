@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.config import TrackerSettings
@@ -319,20 +319,31 @@ def zone_inradius_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def byte_track(spark: SparkSession, sf: str) -> DataFrame:
-    """Tracks from boxes: each user is a walker that steps right, two walkers of a camera in two lanes."""
+    """Tracks from boxes: each user is a walker that steps right, two walkers of a camera in two lanes.
+
+    Every 50 steps the camera sees nobody for 40 frames, longer than a track lasts, and
+    every seventh box is faint.
+    """
     boxes = S.tracking(spark, sf).select("camera_id", "frame_id", "track_id")
     step = F.row_number().over(tracks.Window.partitionBy("camera_id", F.col("track_id") % 2).orderBy("frame_id"))
-    placed = boxes.withColumn("k", step).select(
+    frame = (F.col("k") + F.floor(F.col("k") / 50) * 40).cast("long")
+
+    def clock(number: Column) -> Column:
+        return (F.lit("2026-07-08 08:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(number * 0.04).cast("decimal(18,6)"))).alias("timestamp")
+
+    stepped = boxes.withColumn("k", step)
+    placed = stepped.select(
         "camera_id",
-        F.col("k").cast("long").alias("frame_id"),
-        (F.lit("2026-07-08 08:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("k") * 0.04).cast("decimal(18,6)"))).alias("timestamp"),
+        frame.alias("frame_id"),
+        clock(frame),
         ((F.col("k") % 400) * 4.0).alias("x1"),
         (F.col("track_id") % 2 * 300.0).alias("y1"),
         ((F.col("k") % 400) * 4.0 + 50.0).alias("x2"),
         (F.col("track_id") % 2 * 300.0 + 120.0).alias("y2"),
-        F.lit(0.9).alias("score"),
+        F.when(F.col("k") % 7 == 3, 0.3).otherwise(0.9).alias("score"),
         F.lit(1920).cast("long").alias("frame_width"),
         F.lit(1080).cast("long").alias("frame_height"),
     )
-    tracked = track_detections(placed, TrackerSettings())
+    empty = stepped.where("k % 50 = 0").select("camera_id", F.explode(F.sequence(frame - 40, frame - 1)).alias("frame_id"))
+    tracked = track_detections(placed, TrackerSettings(), frames=empty.select("camera_id", "frame_id", clock(F.col("frame_id"))))
     return tracked.groupBy("camera_id", "track_id").agg(F.count("*").alias("frames"), F.min("y1").alias("lane"))
