@@ -188,6 +188,21 @@ def test_broken_pages_give_a_result(html):
     assert isinstance(text, str) and ("x" not in (html or "") or "script" in html or "x" in text or html == "<a href='>'>x</a>")
 
 
+@pytest.mark.parametrize("depth", [140, 200, 3000, 100_000])
+def test_deep_pages_show_what_shallow_ones_do(depth):
+    down, up = "<span>" * depth, "</span>" * depth
+    assert render_page(f"a{down}<b hidden>no</b><i style='display:none'>no</i>b<script>var x = '<p>no';</script><style>p{{}}</style>{up}c")[0] == "abc"
+    assert render_page(f"<div hidden>{'<div>' * depth}{'</div>' * depth}no</div>yes")[0] == "yes"
+    assert render_page(f"{down}<ul><li>x<li>y</ul><table><tr><td>1<td>22<tr><td>333<td>4</table>{up}z") == ("- x\n- y\n\n1    22\n333  4\n\nz", 1, 2)
+    assert render_page(f"{'<div>' * depth}x{'</div>' * depth}<p>y")[0] == "x\n\ny"
+    assert render_page("<table><tr><td>" * depth + "x") == ("x", depth, 0)
+
+
+def test_lists_keep_their_depth():
+    lines = render_page("<ul><li>x" * 400)[0].split("\n")
+    assert lines == ["  " * k + "- x" for k in range(400)]
+
+
 def test_pages_keep_all_visible_words(spark, sf_dir):
     from html.parser import HTMLParser
 

@@ -10,7 +10,7 @@ aligned in columns.  Every page gives a result, however broken.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -44,8 +44,6 @@ ENDED_BY = {
 # A closing tag of an inline element reaches no farther up than these.
 WALLS = frozenset("table td th caption html body template".split())
 
-#: Deeper elements become children of the one at this depth.
-MAX_DEPTH = 150
 #: Cells longer than this don't widen their column.
 MAX_PAD = 40
 
@@ -74,22 +72,25 @@ def build_tree(html: str) -> Node:
     """The page's tree, tags that HTML lets one leave out put in."""
     root = Node("#root")
     stack = [root]
+    opened: dict[str, list[int]] = {}  # where in the stack each tag is, so that deep pages need no search
 
     def close(upto: int) -> None:
+        for node in stack[upto:]:
+            opened[node.tag].pop()
         del stack[upto:]
 
+    def nearest(tags: set[str]) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     def find(tags: set[str], bound: set[str]) -> int | None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                return k
-            if stack[k].tag in bound:
-                return None
-        return None
+        k = nearest(tags)
+        return k if k and k >= nearest(bound) else None
 
     def start(tag: str, attributes: dict[str, str]) -> None:
         node = Node(tag, attributes)
         stack[-1].children.append(node)
-        if tag not in VOID and len(stack) < MAX_DEPTH:
+        if tag not in VOID:
+            opened.setdefault(tag, []).append(len(stack))
             stack.append(node)
 
     at = 0
@@ -122,11 +123,11 @@ def build_tree(html: str) -> Node:
             start("tr", {})
         attributes = _attributes(m[3])
         start(tag, attributes)
-        if tag in RAW and stack[-1].tag == tag:
+        if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             body = html[at : end.start() if end else len(html)]
             stack[-1].children.append(unescape(body) if tag in ("title", "textarea") else body)
-            stack.pop()
+            close(len(stack) - 1)
             at = end.end() if end else len(html)
     return root
 
@@ -179,10 +180,28 @@ class _Page:
         return "\n".join(self.lines).strip("\n")
 
 
-def _one_line(node: Node, count: dict[str, int]) -> str:
+# Rendering follows the tree, however deep: a step is a generator that yields the steps it needs.
+_Step = Generator["_Step", object, object]
+
+
+def _run(step: _Step) -> object:
+    under_way, value = [step], None
+    while under_way:
+        try:
+            inner = under_way[-1].send(value)
+        except StopIteration as done:
+            under_way.pop()
+            value = done.value
+        else:
+            under_way.append(inner)
+            value = None
+    return value
+
+
+def _one_line(node: Node, count: dict[str, int]) -> _Step:
     page = _Page()
     for child in node.children:
-        _render(child, page, count)
+        yield _render(child, page, count)
     return " ".join(x.strip() for x in page.text().split("\n") if x.strip())
 
 
@@ -210,10 +229,10 @@ def _span(cell: Node, name: str, most: int) -> int:
     return min(max(int(value), 1), most) if value.isdigit() and len(value) < 6 else 1
 
 
-def _table(table: Node, page: _Page, count: dict[str, int]) -> None:
+def _table(table: Node, page: _Page, count: dict[str, int]) -> _Step:
     before, rows = _rows(table)
     for child in before:
-        _render(child, page, count)
+        yield _render(child, page, count)
     page.end_line()
     grid: list[list[str]] = []
     taken: dict[int, int] = {}  # column -> rows that a cell from above still covers
@@ -228,7 +247,7 @@ def _table(table: Node, page: _Page, count: dict[str, int]) -> None:
             elif not is_shown(cell):
                 continue
             else:
-                text, wide, tall = _one_line(cell, count), _span(cell, "colspan", 50), _span(cell, "rowspan", 1000)
+                text, wide, tall = (yield _one_line(cell, count)), _span(cell, "colspan", 50), _span(cell, "rowspan", 1000)
             while len(cells) in now:
                 cells.append("")
             for k in range(wide):
@@ -252,7 +271,7 @@ def _list_mark(node: Node, item: Node, number: int) -> str:
     return f"{number}. " if node.tag == "ol" else "- "
 
 
-def _render(node: Node | str, page: _Page, count: dict[str, int], preformatted: bool = False) -> None:
+def _render(node: Node | str, page: _Page, count: dict[str, int], preformatted: bool = False) -> _Step:
     if isinstance(node, str):
         if not preformatted:
             page.words(node)
@@ -273,7 +292,7 @@ def _render(node: Node | str, page: _Page, count: dict[str, int], preformatted:
     if gap or tag in PLAIN:
         page.block(gap)
     if tag == "table":
-        _table(node, page, count)
+        yield _table(node, page, count)
     elif tag in ("ul", "ol", "menu"):
         start = node.attributes.get("start", "1")
         number = int(start) if start.isdigit() and len(start) < 9 else 1
@@ -285,23 +304,23 @@ def _render(node: Node | str, page: _Page, count: dict[str, int], preformatted:
                 page.block(0)
                 page.indent, page.lead = outer + " " * len(mark), mark
                 for inner in child.children:
-                    _render(inner, page, count)
+                    yield _render(inner, page, count)
                 page.end_line()
                 page.indent, page.lead, number = outer, "", number + 1
                 page.gap = 0
                 count["items"] += 1
             else:
-                _render(child, page, count)
+                yield _render(child, page, count)
     elif tag == "details" and "open" not in node.attributes:
         for child in node.children:
             if isinstance(child, Node) and child.tag == "summary":
-                _render(child, page, count)
+                yield _render(child, page, count)
     else:
         outer = page.indent
         if tag in ("dd", "blockquote"):
             page.indent = outer + "  "
         for child in node.children:
-            _render(child, page, count, preformatted or tag in ("pre", "textarea"))
+            yield _render(child, page, count, preformatted or tag in ("pre", "textarea"))
         if gap or tag in PLAIN:
             page.end_line()
         page.indent = outer
@@ -313,7 +332,7 @@ def render_page(html: str | None) -> tuple[str, int, int]:
     """(visible text, tables, items) of a page; null and empty pages have none."""
     count = {"tables": 0, "items": 0}
     page = _Page()
-    _render(build_tree(html or ""), page, count)
+    _run(_render(build_tree(html or ""), page, count))
     return page.text(), count["tables"], count["items"]
 
 
