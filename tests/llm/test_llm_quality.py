@@ -198,6 +198,14 @@ def test_deep_pages_show_what_shallow_ones_do(depth):
     assert render_page("<table><tr><td>" * depth + "x") == ("x", depth, 0)
 
 
+@pytest.mark.parametrize("start", ["<p>", "<div>", "<span>", "", " \n", "<h1>", "<body>", "</head>", "</head><body>", "<!-- x --><a>", "<img>"])
+def test_a_head_ends_where_the_page_begins(start):
+    head = "<!doctype html><html><head>\n<meta charset=utf-8><title>no</title><link rel=x><style>p{}</style><base href=y><script>no</script><noscript>no</noscript><template><p>no</p>no</template>\n"
+    assert render_page(f"{head}{start}Hello <p>you")[0] == "Hello\n\nyou"
+    assert render_page(f"<head>{start}Hello")[0] == "Hello"
+    assert render_page(f"<head><title>no</title></head>{start}Hello")[0] == "Hello"
+
+
 def test_lists_keep_their_depth():
     lines = render_page("<ul><li>x" * 400)[0].split("\n")
     assert lines == ["  " * k + "- x" for k in range(400)]

@@ -41,6 +41,8 @@ ENDED_BY = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
+# Whatever else begins in an open head ends it.
+HEAD_CONTENT = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 # A closing tag of an inline element reaches no farther up than these.
 WALLS = frozenset("table td th caption html body template".split())
 
@@ -93,14 +95,24 @@ def build_tree(html: str) -> Node:
             opened.setdefault(tag, []).append(len(stack))
             stack.append(node)
 
+    def end_head() -> None:
+        if (k := find({"head"}, {"template"})) is not None:
+            close(k)
+
+    def text(raw: str) -> None:
+        said = unescape(raw)
+        if said.strip(" \t\n\f\r"):
+            end_head()
+        stack[-1].children.append(said)
+
     at = 0
     while at < len(html):
         m = _TOKEN.search(html, at)
         if m is None:
-            stack[-1].children.append(unescape(html[at:]))
+            text(html[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(unescape(html[at : m.start()]))
+            text(html[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -113,6 +125,8 @@ def build_tree(html: str) -> Node:
             if k is not None:
                 close(k)
             continue
+        if tag not in HEAD_CONTENT:
+            end_head()
         if tag in ENDED_BY:
             tags, bound = ENDED_BY[tag]
             while (k := find(tags, bound)) is not None:
