@@ -224,6 +224,15 @@ def test_fingerprints_are_sums_of_paragraphs():
     assert FP.to_string(*FP.vectors(["x\ny"]))[0] != FP.to_string(*FP.vectors(["X\ny"]))[0]
 
 
+def test_one_line_repeated_very_often_is_still_like_itself():
+    line, other = "one two three\n", "four five six\n"
+    texts = [line * 40_000, line * 30_000, line * 70_000, other * 40_000]
+    a, b, c, d = (tuple(x[k : k + 1] for x in FP.vectors(texts)) for k in range(4))
+    assert FP.likeness(a, b) == pytest.approx(1) and FP.likeness(a, c) == pytest.approx(1) and FP.likeness(a, d) < 0.3
+    assert FP.combine(FP.to_string(*a)[0], FP.to_string(*b)[0]) != FP.to_string(*c)[0]  # the empty line at each end counts once more
+    assert FP.of_string(FP.combine(FP.to_string(*a)[0], FP.to_string(*b)[0]))[1].tolist() == c[1][0].tolist()
+
+
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_edited_texts_and_likeness(spark, sf_dir, parts):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-5, None), (-4, ""), (99_999, "ünï cödé"), (None, "abc defg hij")], SCHEMA))

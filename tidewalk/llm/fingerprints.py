@@ -5,7 +5,7 @@ away in any order.  A paragraph's vector has two parts:
 
 * ``DIGEST`` lanes modulo 2**64, all of them hashed from the paragraph; they tell equal
   multisets of paragraphs from others.
-* ``LANES`` wide lanes modulo 2**16: each word triple of the paragraph adds +1 or -1 to
+* ``LANES`` wide lanes modulo 2**32, more than a text has words: each word triple of the paragraph adds +1 or -1 to
   one lane.  Sums of these keep inner products, so the cosine of two fingerprints
   estimates how much of their word triples two documents share, to about
   1 / sqrt(LANES).
@@ -80,17 +80,17 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             sign = 1.0 - 2.0 * (h >> np.uint64(63)).astype(np.float64)
             cell = doc_of[line[keep]] * LANES + (h & np.uint64(LANES - 1)).astype(np.int64)
             wide = np.bincount(cell, weights=sign, minlength=n * LANES).astype(np.int64).reshape(n, LANES)
-    return digest, wide.astype(np.uint16)
+    return digest, wide.astype(np.uint32)
 
 
 def to_string(digest: np.ndarray, wide: np.ndarray) -> list[str]:
-    packed = np.concatenate([digest.astype("<u8").view(np.uint8), wide.astype("<u2").view(np.uint8)], axis=1)
+    packed = np.concatenate([digest.astype("<u8").view(np.uint8), wide.astype("<u4").view(np.uint8)], axis=1)
     return [base64.b64encode(x.tobytes()).decode() for x in packed]
 
 
 def of_string(text: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(text)
-    return np.frombuffer(raw[: 8 * DIGEST], "<u8").copy(), np.frombuffer(raw[8 * DIGEST :], "<u2").copy()
+    return np.frombuffer(raw[: 8 * DIGEST], "<u8").copy(), np.frombuffer(raw[8 * DIGEST :], "<u4").copy()
 
 
 def combine(a: str, b: str, take_away: bool = False) -> str:
@@ -102,7 +102,7 @@ def combine(a: str, b: str, take_away: bool = False) -> str:
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """0 to 1, row by row: 1 for equal fingerprints, else the wide lanes' cosine, at least 0."""
-    x, y = (w.astype(np.int16).astype(np.float64) for _, w in (a, b))
+    x, y = (w.astype(np.int32).astype(np.float64) for _, w in (a, b))
     norm = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cosine = np.divide((x * y).sum(axis=1), norm, out=np.zeros(len(x)), where=norm > 0)
     equal = (a[0] == b[0]).all(axis=1) & (a[1] == b[1]).all(axis=1)
