@@ -103,6 +103,15 @@ def test_near_copies_equal_brute_force(spark, n, percent):
     assert {r["doc_id"] for r in kept.collect()} == {None} | set(want.values())
 
 
+def test_one_row_of_each_kept_id_stays(spark):
+    rows = [(1, "a b c d e f", {"k": 2}, 2), (1, "a b c d e f", {"k": 1}, 1), (2, "a b c d e f", None, 0), (3, "x y z", None, 5), (3, None, None, 6), (3, "x y z", None, 4), (4, "alone", None, 0), (5, "", None, 0), (5, "", None, 0), (None, "n", None, 1), (None, "n", None, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, rank int").repartition(3)
+    kept = near_duplicate_representatives(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r["doc_id"], r["text"], r["rank"]) for r in kept.collect()), key=str)
+    assert got == sorted([(1, "a b c d e f", 1), (3, None, 6), (4, "alone", 0), (5, "", 0), (None, "n", 1), (None, "n", 1)], key=str)
+
+
 def test_no_documents_no_components(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ngram_jaccard_join(empty).collect() == []

@@ -24,6 +24,7 @@ partitions Spark splits; no group is ever gathered in one task or the driver.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -272,8 +273,18 @@ def ngram_jaccard_join(docs: DataFrame, params: JaccardParams | None = None) ->
 def near_duplicate_representatives(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:
     """The documents with one of each component kept: the one with its smallest id, all columns as they were.
 
-    Rows with a null id stay; of repeated rows of a kept id each stays, since they are one document.
+    Of rows that share a kept id one stays: the first by its text (null before all others),
+    then by its other columns from left to right, those that have no order left out.
+    Rows with a null id stay, since links are between ids.
     """
-    joined = ngram_jaccard_join(docs, params)
-    gone = joined.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    by_id = ngram_jaccard_join(docs, params).where("doc_id is not null").groupBy("doc_id")
+    odd = by_id.agg((F.min("component_id") != F.col("doc_id")).alias("gone"), F.count("*").alias("rows")).where("gone or rows > 1")
+    odd = Workspace(docs.sparkSession, "representatives").table(odd, "odd")
+    single = docs.join(odd.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    repeated = odd.where("not gone").select("doc_id")
+    if repeated.isEmpty():
+        return single
+    ordered = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    first = F.min_by(F.struct(*docs.columns), F.struct("text", *[c for c in ordered if c != "text"]))
+    kept = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("row"))
+    return single.unionByName(kept.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
