@@ -214,11 +214,12 @@ def test_pieces_equal_their_own_library(spark):
 
 
 def test_other_kinds_of_models():
-    from tidewalk.llm.sentencepiece_backend import UNIGRAM, PieceModel, build_tokenizer
+    from tidewalk.llm.sentencepiece_backend import UNIGRAM, PieceModel
 
     pieces = [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("a", -2.0, 1), ("▁ab", -1.0, 1), ("b", -2.5, 1)]
     model = PieceModel(pieces, kind=UNIGRAM, unk_id=0)
-    assert [pieces[i][0] for i in build_tokenizer(model).encode(" ab a", add_special_tokens=False).ids] == ["a", "b", "▁", "a"]
+    ids = next(iter(PieceCodec(model=model).batches(pa.array([" ab a"]))))[2]
+    assert [pieces[i][0] for i in ids] == ["▁ab", "▁", "a"]  # what the model's own library gives
     assert PieceModel(pieces + [("a▁b", 0.0, 1)]).splits_at_spaces() is False
     with pytest.raises(ValueError):
         PieceModel.parse(b"")
