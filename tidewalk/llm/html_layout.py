@@ -46,11 +46,18 @@ HEAD_CONTENT = frozenset("html head base basefont bgsound link meta title style
 # A closing tag of an inline element reaches no farther up than these.
 WALLS = frozenset("table td th caption html body template".split())
 
-#: Cells longer than this don't widen their column.
+#: Cells longer than this don't widen their column; else one long cell would pad every row to its length.
 MAX_PAD = 40
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+#: A table wider than this is not aligned.
+MAX_WIDE = 1000
+
+# Parts of a tag, each matched where the one before ended, so that reading a page is one pass.
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+_COMMENT_END = re.compile(r"--!?>")
 _WHITE = re.compile(r"[ \t\n\f\r]+")
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
@@ -62,12 +69,28 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes or {}, []
 
 
-def _attributes(raw: str) -> dict[str, str]:
+def _read_tag(html: str, at: int) -> tuple[dict[str, str], int] | None:
+    """Attributes of a tag from after its name, and the place after its ``>``; None if the page ends in it."""
     out: dict[str, str] = {}
-    if raw.strip(" /\t\n\f\r"):
-        for name, value in _ATTRIBUTE.findall(raw):
-            out.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in "\"'" and len(value) > 1 else value))
-    return out
+    while True:
+        at = _GAP.match(html, at).end()
+        if at >= len(html):
+            return None
+        if html[at] == ">":
+            return out, at + 1
+        name = _ATTRIBUTE.match(html, at)
+        at, value = name.end(), ""
+        if equals := _EQUALS.match(html, at):
+            at = equals.end()
+            if html[at : at + 1] in ("'", '"'):
+                end = html.find(html[at], at + 1)
+                if end < 0:
+                    return None
+                value, at = html[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(html, at)
+                value, at = bare[0], bare.end()
+        out.setdefault(name[0].lower(), unescape(value))
 
 
 def build_tree(html: str) -> Node:
@@ -105,19 +128,31 @@ def build_tree(html: str) -> Node:
             end_head()
         stack[-1].children.append(said)
 
-    at = 0
-    while at < len(html):
-        m = _TOKEN.search(html, at)
-        if m is None:
-            text(html[at:])
-            break
-        if m.start() > at:
-            text(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    at = said = 0  # what stands from ``said`` to the next tag is text
+    while (at := html.find("<", at)) >= 0:
+        after = html[at + 1 : at + 2]
+        closes = after == "/"
+        name = _NAME.match(html, at + 1 + closes)
+        if name is None and after not in ("!", "?") and not (closes and at + 2 < len(html)):
+            at += 1
+            continue
+        if at > said:
+            text(html[said:at])
+        if name is None:  # a comment, a declaration, or what browsers take for one
+            if html.startswith("<!--", at):
+                end = _COMMENT_END.search(html, at + 2)
+                at = said = end.end() if end else len(html)
+            else:
+                end = html.find(">", at + 1)
+                at = said = end + 1 if end >= 0 else len(html)
             continue
-        tag = m[2].lower()
-        if m[1]:
+        tag, read = name[0].lower(), _read_tag(html, name.end())
+        if read is None:  # the page ends within a tag, which shows nothing
+            said = len(html)
+            break
+        attributes, at = read
+        said = at
+        if closes:
             if tag == "p" and find({"p"}, WALLS) is None:
                 start("p", {})  # a lone end tag makes an empty paragraph
             bound = set() if tag in WALLS or tag in ("tr", "tbody", "thead", "tfoot", "ul", "ol", "dl") else WALLS
@@ -135,14 +170,15 @@ def build_tree(html: str) -> Node:
             close(k)
         if tag in ("td", "th") and find({"tr"}, {"table"}) is None and find({"table"}, set()) is not None:
             start("tr", {})
-        attributes = _attributes(m[3])
         start(tag, attributes)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             body = html[at : end.start() if end else len(html)]
             stack[-1].children.append(unescape(body) if tag in ("title", "textarea") else body)
             close(len(stack) - 1)
-            at = end.end() if end else len(html)
+            at = said = end.end() if end else len(html)
+    if said < len(html):
+        text(html[said:])
     return root
 
 
@@ -238,21 +274,27 @@ def _rows(table: Node) -> tuple[list[Node], list[Node]]:
     return before, rows
 
 
+# HTML's greatest spans.
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+
+
 def _span(cell: Node, name: str, most: int) -> int:
     value = cell.attributes.get(name, "1").strip()
-    return min(max(int(value), 1), most) if value.isdigit() and len(value) < 6 else 1
+    return min(max(int(value), 1), most) if value.isdigit() and len(value) < 9 else 1
 
 
 def _table(table: Node, page: _Page, count: dict[str, int]) -> _Step:
+    """Cells under each other by column; a column in which no cell begins takes no room."""
     before, rows = _rows(table)
     for child in before:
         yield _render(child, page, count)
     page.end_line()
-    grid: list[list[str]] = []
-    taken: dict[int, int] = {}  # column -> rows that a cell from above still covers
+    grid: list[list[tuple[int, str]]] = []  # (column, text), ascending
+    taken: list[tuple[int, int, int]] = []  # (column, column after the last, rows) that cells from above still cover, ascending
     for row in rows:
-        cells: list[str] = []
-        now, taken = taken, {c: n - 1 for c, n in taken.items() if n > 1}
+        cells: list[tuple[int, str]] = []
+        grown: list[tuple[int, int, int]] = []
+        at = k = 0
         for cell in row.children:
             if isinstance(cell, str):
                 text, wide, tall = cell.strip(), 1, 1
@@ -261,23 +303,32 @@ def _table(table: Node, page: _Page, count: dict[str, int]) -> _Step:
             elif not is_shown(cell):
                 continue
             else:
-                text, wide, tall = (yield _one_line(cell, count)), _span(cell, "colspan", 50), _span(cell, "rowspan", 1000)
-            while len(cells) in now:
-                cells.append("")
-            for k in range(wide):
-                if tall > 1:
-                    taken[len(cells)] = tall - 1
-                cells.append(text if k == 0 else "")
+                text, wide, tall = (yield _one_line(cell, count)), _span(cell, "colspan", MAX_COLSPAN), _span(cell, "rowspan", MAX_ROWSPAN)
+            while k < len(taken) and taken[k][0] <= at:
+                at, k = max(at, taken[k][1]), k + 1
+            cells.append((at, text))
+            if tall > 1:
+                grown.append((at, at + wide, tall - 1))
+            at += wide
+        taken = sorted([(a, b, n - 1) for a, b, n in taken if n > 1] + grown)
         grid.append(cells)
-    width = [0] * max(map(len, grid), default=0)
+    width: dict[int, int] = {}
     for cells in grid:
-        for k, text in enumerate(cells):
-            if len(text) <= MAX_PAD:
-                width[k] = max(width[k], len(text))
+        for column, text in cells:
+            width[column] = max(width.get(column, 0), len(text) if len(text) <= MAX_PAD else 0)
+    place, total = {}, 0
+    for column in sorted(width):
+        place[column] = total
+        total += width[column] + 2
     for cells in grid:
-        line = "  ".join(text.ljust(width[k]) for k, text in enumerate(cells)).rstrip(" ")
-        if line:
-            page.emit(line)
+        parts, reached = [], 0  # long cells push what follows to the right
+        for column, text in cells:
+            if text:
+                gap = max(place[column] - reached if total <= MAX_WIDE else 0, 2 if parts else 0)
+                parts += [" " * gap, text]
+                reached += gap + len(text)
+        if parts:
+            page.emit("".join(parts))
     count["tables"] += 1
 
 
@@ -366,6 +417,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     ``pages`` has ``page_id`` and ``html``; other columns are not looked at.  One row per
     row; a null or empty page, or one that shows nothing, has empty text.  Rows are
-    independent of each other, so null and repeated ids are kept.
+    independent of each other, so null and repeated ids are kept.  A page is read in one
+    pass whatever its length and however broken; an empty table gives no rows.
     """
     return map_arrow(pages.select("page_id", "html"), _extract, "page_id long, text string, n_chars long, n_tables long, n_items long")
