@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Every step is a grouped minimum (partially aggregated before its shuffle) and an
-equi-join, so a node with very many neighbours is no single task's work: the
-aggregation sees one row per task for it, and the join's hot side can be split.
+Every step is a grouped minimum (partially aggregated before its shuffle) and a join
+with those minima.  Edges and minima are written tables, so both sides of the join are
+shuffled for it alone and Spark splits the partition of a node with very many
+neighbours where it is large.
 """
 
 from __future__ import annotations
@@ -13,21 +14,23 @@ from pyspark.sql import functions as F
 from tidewalk.llm.common import Workspace
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _least(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """(w, m): the smallest neighbour below each node that has one."""
+    return work.table(edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), name)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step; ``edges`` are u > v. Large: neighbours above u move to u's minimum. Small: those below do."""
-    if large:
-        around = _both_ways(edges)
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        moved = around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.where("u <> v").distinct()
+def _step(edges: DataFrame, work: Workspace, label: str) -> DataFrame:
+    """Both stars over edges u > v, as one new table of edges."""
+    # Large star: neighbours above a node move to the node's least; a node without one below is that itself.
+    least = _least(edges, work, f"{label}-least")
+    large = edges.join(least, edges["v"] == least["w"], "left").select("u", F.coalesce("m", "v").alias("v"))
+    large = work.table(large, f"{label}-large")
+    # Small star: neighbours below a node move to the least of them, and so does the node.
+    least = _least(large, work, f"{label}-low")
+    moved = large.join(least, large["u"] == least["w"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    after = work.table(moved.unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct(), label)
+    work.drop(f"{label}-least", f"{label}-large", f"{label}-low")
+    return after
 
 
 def _stamp(edges: DataFrame) -> tuple[int, int]:
@@ -44,7 +47,7 @@ def connected_components(edges: DataFrame, work: Workspace, label: str = "compon
     now = work.table(now, f"{label}-0")
     stamp, k = _stamp(now), 0
     while stamp[0]:
-        after = work.table(_star(_star(now, large=True), large=False), f"{label}-{k + 1}")
+        after = _step(now, work, f"{label}-{k + 1}")
         work.drop(f"{label}-{k}")
         k += 1
         now, (before, stamp) = after, (stamp, _stamp(after))

@@ -1,11 +1,12 @@
 """N-gram Jaccard self-join by a grouped prefix filter, up to connected components.
 
 Method.  A document is the set of its distinct word shingles.  All shingles of all
-documents are counted in a hashed table of fixed size; the counts give one total order,
-rare first.  Two sets that reach the similarity share a shingle among their first
+documents are counted in a hashed table; the counts give one total order, rare first.
+Two sets that reach the similarity share a shingle among their first
 ``n - ceil(t n / 100) + 1`` in that order (their prefixes).
 
-* Equal sets become one class; only its smallest document goes on.
+* Equal sets become one class; only its smallest document goes on, and of these only
+  sets that a different set can be near enough to.
 * Classes with the same prefix and size become one group; only groups are posted
   under their prefix shingles, and shingles that one group alone has are dropped.
 * First round: each group meets only the smallest group under each of its shingles,
@@ -17,8 +18,10 @@ rare first.  Two sets that reach the similarity share a shingle among their firs
   themselves.  They are expanded to members and verified likewise.
 
 Nothing is dropped or capped: a link left untested lies inside a component that other
-links already hold together.  A hot shingle's pairs come from an equi-join whose large
-partitions Spark splits; no group is ever gathered in one task or the driver.
+links already hold together.  Keys that hold more than one in 4096 of all rows (a
+shingle, a group, a class of copies) are fewer than that; what belongs to them is
+broadcast, and where hot shingles' posts meet each other they are salted.  No group is
+ever gathered in one task or the driver.
 """
 
 from __future__ import annotations
@@ -27,29 +30,35 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import Workspace, map_arrow
+from tidewalk.llm.common import HOT, Workspace, join_by_key, map_arrow
 from tidewalk.llm.components import connected_components
 from tidewalk.llm.shingles import mix, shingle_sets, sort_each, sums_each
 
-#: The counting table has 2**22 cells whatever the input, so 4 MB of levels go to each task.
-SKETCH_BITS = 22
-_BLOCKS = 64
+#: log2 of the counting table's cells: enough for 8 million documents, and at most (64 MB of levels go to each worker).
+SKETCH_BITS, MOST_SKETCH_BITS = 22, 26
+#: The table is summed up in so many parts.
+_BLOCKS = 256
+#: Parts into which a hot shingle's posts are dealt.
+SALTS = 8
 
 
 @dataclass(frozen=True)
 class JaccardParams:
-    """``words`` per shingle; two documents link when 100 * intersection >= ``percent`` * union."""
+    """``words`` per shingle; two documents link when 100 * intersection >= ``percent`` * union.
+
+    ``sketch_bits``: log2 of the counting table's cells, by the number of documents if None.
+    """
 
     words: int = 5
     percent: int = 80
-    sketch_bits: int = SKETCH_BITS
+    sketch_bits: int | None = None
 
 
 def _partial_counts(words: int, bits: int):
@@ -78,8 +87,12 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequency_levels(docs: DataFrame, params: JaccardParams) -> np.ndarray:
-    """Log-scaled counts of all shingles of all documents by hash cell (``2**sketch_bits`` bytes)."""
-    partial = map_arrow(docs.select("text"), _partial_counts(params.words, params.sketch_bits), "block int, cells binary")
+    """Log-scaled counts of all shingles of all documents by hash cell (``2**sketch_bits`` bytes).
+
+    A task's table is as large whatever it reads, so there are only a few tasks per core.
+    """
+    tasks = max(64, 4 * docs.sparkSession.sparkContext.defaultParallelism)
+    partial = map_arrow(docs.select("text").coalesce(tasks), _partial_counts(params.words, params.sketch_bits), "block int, cells binary")
     rows = map_arrow(partial.repartition("block"), _sum_counts, "block int, cells binary").collect()
     levels = np.zeros((_BLOCKS, (1 << params.sketch_bits) // _BLOCKS), dtype=np.uint8)
     for block, cells in rows:
@@ -170,21 +183,37 @@ class _Join:
     """The state of one run: its tables and how pairs are tested."""
 
     def __init__(self, docs: DataFrame, params: JaccardParams, work: Workspace) -> None:
-        self.params, self.work = params, work
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs.select("doc_id", "text")
+        self.work, self.count = work, self.docs.count()
+        bits = params.sketch_bits or min(MOST_SKETCH_BITS, SKETCH_BITS + max(0, (self.count >> 23).bit_length()))
+        self.params = params = replace(params, sketch_bits=bits)
         levels = self.spark.sparkContext.broadcast(frequency_levels(self.docs, params))
         self.features = work.table(map_arrow(self.docs, _features(levels, params), _FEATURES), "features")
 
-    # The sizes' difference, or places i and j of the first common shingle, bound the symmetric difference from below.
-    def possible(self, apart: str, sizes: str) -> str:
-        return f"{100 + self.params.percent} * ({apart}) <= {100 - self.params.percent} * ({sizes})"
+    def possible(self, a: str, b: str, apart: str = "0") -> str:
+        """Whether sets of sizes ``a`` and ``b`` can be near enough.
+
+        The sizes' difference, or places of the first common shingle (``apart``), bound
+        the symmetric difference from below; different sets of one size differ by 2.
+        """
+        least = f"greatest({apart}, abs({a} - {b}), if({a} = {b}, 2, 1))"
+        return f"{100 + self.params.percent} * {least} <= {100 - self.params.percent} * ({a} + {b})"
+
+    def matched(self, minor: DataFrame, posts: DataFrame, hot: DataFrame) -> DataFrame:
+        """Posts that share a shingle; both sides are written tables' rows, and hot shingles' are dealt over ``SALTS`` tasks more."""
+        if hot.isEmpty():
+            return minor.join(posts, "token")
+        few, salts = F.broadcast(hot), F.array(*map(F.lit, range(SALTS)))
+        dealt = minor.join(few, "token", "left_semi").withColumn("salt", F.pmod(F.xxhash64("head_a"), F.lit(SALTS)).cast("int"))
+        spread = posts.join(few, "token", "left_semi").withColumn("salt", F.explode(salts))
+        return minor.join(few, "token", "left_anti").join(posts, "token").unionByName(dealt.join(spread, ["token", "salt"]).drop("salt"))
 
     def verified(self, pairs: DataFrame, label: str) -> DataFrame:
         """The links among distinct pairs (a, b) of classes, as edges (u, v)."""
         bits = self.classes.select("node", "n", "bits")
         pairs = pairs.join(bits.toDF("a", "n_a", "bits_a"), "a").join(bits.toDF("b", "n_b", "bits_b"), "b")
-        pairs = pairs.where(self.possible("abs(n_a - n_b)", "n_a + n_b"))
+        pairs = pairs.where(self.possible("n_a", "n_b"))
         near = self.work.table(map_arrow(pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), _near_by_bits(self.params.percent), "a long, b long"), f"{label}-near")
         wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
         sets = map_arrow(self.docs.join(wanted, "doc_id", "left_semi"), _sets(self.params.words), "doc_id long, members array<long>").where(F.size("members") > 0)
@@ -195,48 +224,58 @@ class _Join:
         return self.work.table(links, f"{label}-links")
 
     def components(self) -> DataFrame:
-        """(node, component) for the classes that anything links; class (h1, h2, n) -> node stays in ``members``."""
+        """(node, component) for the classes that anything links; ``members`` has each document's class."""
         work = self.work
         some = self.features.where("n > 0 and doc_id is not null")
         self.classes = work.table(
-            some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
+            some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
             "classes",
         )
-        slim = self.classes.select("node", "n", "p1", "p2")
-        heads = slim.groupBy("n", "p1", "p2").agg(F.min("node").alias("head"), F.count("*").alias("size"))
+        # A set is linkable if one with a single shingle more would be near enough.
+        able = self.classes.where(self.possible("n", "n + 1"))
+        slim = able.select("node", "n", "p1", "p2")
+        heads = work.table(slim.groupBy("n", "p1", "p2").agg(F.min("node").alias("head"), F.count("*").alias("size")), "heads")
         # Every class with its group; groups of one need no join later on.
-        self.grouped = work.table(slim.join(heads, ["n", "p1", "p2"]).select("node", "n", "head", "size"), "groups")
-        posted = self.classes.groupBy("n", "p1", "p2").agg(F.min("node").alias("head"), F.first("prefix").alias("prefix")).select("head", "n", F.posexplode("prefix").alias("place", "token"))
-        least = posted.groupBy("token").agg(F.min(F.struct("head", "n", "place")).alias("hub"), F.count("*").alias("posts")).where("posts > 1")
-        live = work.table(posted.join(least, "token").select("token", "head", "n", "place", "hub"), "live")
-
-        meet = live.where("head <> hub.head").where(self.possible("place + hub.place + abs((n - place) - (hub.n - hub.place))", "n + hub.n"))
+        grouped = work.table(join_by_key(slim, heads, ["n", "p1", "p2"], "size", self.classes.count()).select("node", "n", "head", "size"), "groups")
+        posted = able.groupBy("n", "p1", "p2").agg(F.min("node").alias("head"), F.first("prefix").alias("prefix")).select("head", "n", F.posexplode("prefix").alias("place", "token"))
+        posted = work.table(posted, "posted")
+        least = work.table(posted.groupBy("token").agg(F.min(F.struct("head", "n", "place")).alias("hub"), F.count("*").alias("posts")).where("posts > 1"), "least")
+        total = posted.count()
+        live = work.table(join_by_key(posted, least, ["token"], "posts", total).select("token", "head", "n", "place", "hub"), "live")
+        work.drop("heads", "posted", "least")
+
+        meet = live.where("head <> hub.head").where(self.possible("n", "hub.n", "place + hub.place + abs((n - place) - (hub.n - hub.place))"))
         first = meet.select(F.col("hub.head").alias("a"), F.col("head").alias("b"))
-        inside = self.grouped.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+        inside = grouped.where("node <> head").where(self.possible("n", "n")).select(F.col("head").alias("a"), F.col("node").alias("b"))
         links = self.verified(first.unionByName(inside).distinct(), "first")
         # Rows that share an id are one document, whatever their texts.
-        alias = some.select("doc_id", "n", "h1", "h2").join(self.classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"]).select("doc_id", "node")
-        self.members = work.table(alias, "members")
+        self.members = work.table(join_by_key(some.select("doc_id", "n", "h1", "h2"), self.classes.select("n", "h1", "h2", "node", "copies"), ["n", "h1", "h2"], "copies", self.count).select("doc_id", "node"), "members")
         split = self.members.groupBy("doc_id").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x")
         same = self.members.join(split, "doc_id").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
         joined = connected_components(links.unionByName(same), work, "joined")
 
         # Second round, between components only.
-        placed = work.table(self.grouped.join(joined, "node", "left").select("node", "n", "head", "size", F.coalesce("component", "node").alias("c")), "placed")
+        placed = work.table(grouped.join(joined, "node", "left").select("node", "n", "head", "size", F.coalesce("component", "node").alias("c")), "placed")
         span = placed.groupBy("head").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        posts = live.select("token", "head", "n", "place").join(span, "head")
-        open_ = posts.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").select("token")
-        posts = work.table(posts.join(open_, "token"), "posts")
-        most = posts.where("lo = hi").groupBy("token", "lo").agg(F.count("*").alias("posts")).groupBy("token").agg(F.max(F.struct("posts", "lo")).alias("top")).select("token", F.col("top.lo").alias("major"))
-        minor = posts.join(most, "token", "left").where("major is null or lo <> major or hi <> major").select("token", *(F.col(c).alias(f"{c}_a") for c in ("head", "n", "place", "lo", "hi")), "major")
-        pairs = minor.join(posts, "token").where("head <> head_a and not (lo = hi and lo_a = hi_a and lo = lo_a)")
-        pairs = pairs.where("(lo = hi and lo = major) or head_a < head").where(self.possible("place + place_a + abs((n - place) - (n_a - place_a))", "n + n_a"))
+        spread = work.table(live.select("token", "head", "n", "place").join(span, "head"), "spread")
+        work.drop("groups", "live")
+        # Of each shingle whose posts lie in several components, the component that has most of them.
+        by_place = spread.groupBy("token", "lo", "hi").agg(F.count("*").alias("k")).groupBy("token")
+        top = F.max(F.when(F.col("lo") == F.col("hi"), F.struct("k", "lo")))
+        open_ = by_place.agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.sum("k").alias("posts"), top.alias("top")).where("least < most")
+        open_ = work.table(open_.select("token", "posts", F.col("top.lo").alias("major")), "open")
+        posts = work.table(join_by_key(spread, open_, ["token"], "posts", total).drop("posts"), "posts")
+        work.drop("spread")
+        minor = posts.where("major is null or lo <> major or hi <> major").select("token", *(F.col(c).alias(f"{c}_a") for c in ("head", "n", "place", "lo", "hi")))
+        hot = open_.where(F.col("posts") * HOT > total).select("token")
+        pairs = self.matched(minor, posts, hot).where("head <> head_a and not (lo = hi and lo_a = hi_a and lo = lo_a)")
+        pairs = pairs.where("(lo = hi and lo = major) or head_a < head").where(self.possible("n", "n_a", "place + place_a + abs((n - place) - (n_a - place_a))"))
         pairs = pairs.select(F.least("head", "head_a").alias("ha"), F.greatest("head", "head_a").alias("hb")).distinct()
         of = placed.select(F.col("head").alias("ha"), F.col("node").alias("a"), F.col("c").alias("ca"))
         expanded = pairs.join(of, "ha").join(of.toDF("hb", "b", "cb"), "hb").where("ca <> cb").select("a", "b")
         # Members of one group that the first round has left apart from its first.
         mixed = span.where("lo < hi").select("head")
-        within = placed.where("size > 1").join(mixed, "head", "left_semi")
+        within = placed.where("size > 1").where(self.possible("n", "n")).join(mixed, "head", "left_semi")
         lead = within.where("node = head").select("head", F.col("c").alias("major"))
         odd = within.join(lead, "head").where("c <> major").select("head", F.col("node").alias("a"), F.col("c").alias("ca"), "major")
         inside = odd.join(within.select("head", F.col("node").alias("b"), F.col("c").alias("cb")), "head").where("ca <> cb and (cb = major or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -258,16 +297,19 @@ def ngram_jaccard_join(docs: DataFrame, params: JaccardParams | None = None) ->
     that share a ``doc_id`` are one document.  An empty table gives an empty table.
     """
     params = params or JaccardParams()
-    if not 50 <= params.percent <= 100 or params.words < 1 or not math.log2(_BLOCKS) <= params.sketch_bits <= 26:
+    if not 50 <= params.percent <= 100 or params.words < 1 or not math.log2(_BLOCKS) <= (params.sketch_bits or SKETCH_BITS) <= MOST_SKETCH_BITS:
         raise ValueError(f"unusable parameters: {params}")
     work = Workspace(docs.sparkSession, "jaccard")
     run = _Join(docs, params, work)
     found = run.components()
     # By document, not by class: a class of very many equal documents would be one hot key.
-    by_doc = run.members.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+    classes = run.classes.select("node", "copies").join(found, "node", "left").select("node", "copies", F.coalesce("component", "node").alias("component"))
+    by_doc = join_by_key(run.members, work.table(classes, "found"), ["node"], "copies", run.count).groupBy("doc_id").agg(F.min("component").alias("component"))
     out = run.features.select("doc_id", "n").join(by_doc, "doc_id", "left")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    result = work.table(out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")), "result")
+    work.keep("result")
+    return result
 
 
 def near_duplicate_representatives(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:

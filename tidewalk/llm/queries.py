@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.llm.chat_trees import format_conversations, loss_text, parse_turns
-from tidewalk.llm.common import table
+from tidewalk.llm.common import bound_batches, table
 from tidewalk.llm.fingerprints import fingerprint_documents
 from tidewalk.llm.html_layout import extract_pages
 from tidewalk.llm.jaccard_join import JaccardParams, ngram_jaccard_join
@@ -129,7 +129,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(table(spark, sf_dir, "documents"), label_grades(spark, sf_dir))
 
 
-QUERIES = {
+def _bounded(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
@@ -141,4 +149,5 @@ QUERIES = {
     "op9_html_layout": op9_html_layout,
     "op10_quality_classifier": op10_quality_classifier,
 }
+QUERIES = {name: _bounded(query) for name, query in _ALL.items()}
 ORACLES: dict[str, str] = {"op1_ngram_jaccard_join": OP1_SQL, "op8_chat_format": OP8_SQL}
