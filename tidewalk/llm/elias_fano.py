@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 
 SAMPLE = 256
+#: Values whose low bits are packed at once, a multiple of 8 so that parts end with a byte.
+PACKED = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -39,8 +41,11 @@ class EliasFano:
         high = np.zeros(int(ones[-1]) + 1, np.uint8)
         high[ones] = 1
         shifts = np.arange(low_bits, dtype=np.uint64)
-        low = ((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).reshape(-1)
-        return cls(n, low_bits, np.packbits(low, bitorder="little"), np.packbits(high, bitorder="little"), ones[::SAMPLE].astype(np.uint32))
+        low = [np.zeros(0, np.uint8)]
+        for at in range(0, n, PACKED):
+            bits = (values[at : at + PACKED, None] >> shifts) & np.uint64(1)
+            low.append(np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little"))
+        return cls(n, low_bits, np.concatenate(low), np.packbits(high, bitorder="little"), ones[::SAMPLE].astype(np.uint32))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i), dtype=np.uint64)
@@ -64,6 +69,21 @@ class EliasFano:
         one = byte * 8 + (word & -word).bit_length() - 1
         return (one - i) << self.low_bits | int(self._low(np.array([i]))[0])
 
+    def select_range(self, i: int, j: int) -> np.ndarray:
+        """Values i to j - 1, as int64: the sample before the i-th says where to start, and only the bytes up to the j-th are unpacked."""
+        j = min(j, self.n)
+        if i >= j:
+            return np.zeros(0, np.int64)
+        first = i // SAMPLE
+        begin = int(self.samples[first]) >> 3
+        # The sample after the last value bounds its place.
+        after = -(-j // SAMPLE)
+        end = (int(self.samples[after]) >> 3) + 1 if after < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[begin:end], bitorder="little")) + 8 * begin
+        ones = ones[ones >= int(self.samples[first])][i - first * SAMPLE : j - first * SAMPLE]
+        at = np.arange(i, j)
+        return (((ones - at).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(at)).astype(np.int64)
+
     def decode(self) -> np.ndarray:
         """All values, as int64."""
         if self.n == 0:

@@ -25,7 +25,10 @@ from tidewalk.llm.segments import crc32, library_encoder
 
 @dataclass(frozen=True)
 class PackingParams:
-    """``tokenizer`` is a file's path; every document ends with ``end_id``; ``with_ids`` also returns the pieces' ids."""
+    """``tokenizer`` is a file's path; every document ends with ``end_id``; ``with_ids`` also returns the pieces' ids.
+
+    ``special_as_text``: strings of special tokens in a text are ordinary text, not these tokens.
+    """
 
     tokenizer: str
     window: int = 2048
@@ -33,6 +36,7 @@ class PackingParams:
     open_windows: int = 256
     merge_tasks: int = 4
     with_ids: bool = False
+    special_as_text: bool = False
 
 
 @dataclass
@@ -111,7 +115,7 @@ class _Rows:
 
 def _pack(params: PackingParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(params.tokenizer)
+        encoder = library_encoder(params.tokenizer, params.special_as_text)
         windows, rows = OpenWindows(params.window, params.open_windows), _Rows(TaskContext.get().partitionId())
         end = np.array([params.end_id], np.uint32)
         for batch in batches:

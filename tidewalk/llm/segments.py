@@ -1,15 +1,20 @@
 """Batch encoding by a tokenizers-library tokenizer, each distinct segment once.
 
 A text is cut before every run of white space, so a segment is a run of white space and
-the word after it.  For the tokenizers used here no id ever spans such a cut, and what a
-segment becomes doesn't depend on its neighbours; so a text's ids are its segments' ids
-in a row, and each distinct segment is encoded by the library only once while the
-memory of them lasts.  Texts with white space outside ASCII could join two segments'
-white space, so those go to the library whole.
+the word after it.  Where no id ever spans such a cut, and what a segment becomes doesn't
+depend on its neighbours, a text's ids are its segments' ids in a row, and each distinct
+segment is encoded by the library only once while the memory of them lasts.  Whether a
+tokenizer is of that kind is told from its file and tried on sample texts
+(``cuts_at_space``); any other gets whole texts.  Texts with white space outside ASCII
+could join two segments' white space, and special tokens may take white space beside
+them, so texts with either go to the library whole.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -51,10 +56,12 @@ def odd_space(data: np.ndarray) -> np.ndarray:
 
 
 class SegmentEncoder:
-    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment, ``odd`` finds what sends a text to the library whole; ids below 65,536 are kept ``narrow``."""
+    """``encode(texts)`` gives the ids of each string; ``spaces`` are the bytes that start a segment, ``odd`` finds what sends a text to the library whole, ``apart`` are strings that do so too; ids below 65,536 are kept ``narrow``."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd: Callable[[np.ndarray], np.ndarray] = odd_space, narrow: bool = False) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaces: bytes = ASCII_SPACE, odd: Callable[[np.ndarray], np.ndarray] = odd_space, narrow: bool = False, apart: list[str] | None = None) -> None:
         self.encode, self.odd = encode, odd
+        found = sorted(apart or [], key=len, reverse=True)
+        self.apart = re.compile("|".join(map(re.escape, found)).encode()) if found else None
         self.space = np.zeros(256, dtype=bool)
         self.space[list(spaces)] = True
         rng = np.random.Generator(np.random.PCG64(7))
@@ -91,7 +98,7 @@ class SegmentEncoder:
         The library is called on long strings, in which a mark stands after each segment;
         one that begins without white space, is nothing else, or has the mark's character goes alone.
         """
-        alone = [k for k, x in enumerate(texts) if MARK in x or not self._is_space(x[0]) or self._is_space(x[-1])]
+        alone = [k for k, x in enumerate(texts) if MARK in x or not self._is_space(x[0]) or self._is_space(x[-1]) or (self.apart and self.apart.search(x.encode()))]
         found: dict[int, np.ndarray] = dict(zip(alone, (np.array(x, np.uint32) for x in self.encode([texts[k] for k in alone])), strict=True)) if alone else {}
         rest = [k for k in range(len(texts)) if k not in found]
         tail = f"{chr(self.gap)}{MARK}"
@@ -180,6 +187,8 @@ class SegmentEncoder:
         """(first row, row after the last, ids in a row, starts by row) over a string array; null counts as empty."""
         for i, j, data, ends in chunks(text):
             odd = self.odd(data) if len(data) else np.zeros(0, np.int64)
+            if self.apart and len(data):
+                odd = np.concatenate([odd, np.array([m.start() for m in self.apart.finditer(data.tobytes())], np.int64)])
             ids, per = self._chunk(data, ends)
             starts = np.concatenate([[0], np.cumsum(per)])
             if len(odd):
@@ -192,22 +201,80 @@ class SegmentEncoder:
             yield i, j, ids, starts
 
 
-_ENCODERS: dict[str, SegmentEncoder] = {}
+class WholeEncoder:
+    """Batches as ``SegmentEncoder`` gives them, every text encoded whole."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]]) -> None:
+        self.encode = encode
+
+    def batches(self, text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        for i, j, _, _ in chunks(text):
+            part = self.encode(text.slice(i, j - i).fill_null("").to_pylist())
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in part])]).astype(np.int64)
+            yield i, j, np.fromiter((x for one in part for x in one), np.uint32, starts[-1]), starts
+
+
+#: Parts of the sample texts: every pair and triple of them is tried, in one order each.
+_SAMPLES = ["a", "Word", "don't", "12", "3.5", "é", "日本", "😀", "-", "...", "(", "x_y", "\x01", "A1b"]
+_GAPS = [" ", "  ", "   ", "\n", " \n", "\n\n ", "\t", "\r\n", " \t "]
+
+
+def cuts_at_space(tokenizer) -> bool:
+    """Whether segments can be encoded by themselves.
+
+    The file must say that text is cut at white space before the model sees it (byte
+    level with its pattern, or a split that removes white space, behind normalisers that
+    look at no neighbours across it), and on sample texts the segments' ids must be the
+    whole text's.
+    """
+    told = json.loads(tokenizer.to_str())
+    before = told.get("pre_tokenizer") or {}
+    steps = before.get("pretokenizers", [before])
+    byte_level = len(steps) == 1 and steps[0].get("type") == "ByteLevel" and steps[0].get("use_regex") and not steps[0].get("add_prefix_space")
+    split = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert") and all(x.get("type") == "ByteLevel" and not x.get("add_prefix_space") for x in steps[1:])
+    normal = told.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    local = all(x.get("type") in ("NFC", "Lowercase") or (x.get("type") == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " ") for x in normal.get("normalizers", [normal]))
+    if not (byte_level or split or before.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")) or not local:
+        return False
+    texts = []
+    for k, (a, b) in enumerate(itertools.product(_SAMPLES, repeat=2)):
+        x, y = _GAPS[k % len(_GAPS)], _GAPS[(k // 3) % len(_GAPS)]
+        texts += [f"{a}{x}{b}", f"{x}{a}{y}{b}{x}", f"{a}{b}{y}{a}"]
+    cut = [re.findall(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+", t) for t in texts]
+    ids = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    parts = tokenizer.encode_batch_fast([x for segments in cut for x in segments], add_special_tokens=False)
+    each = iter(parts)
+    return all(whole.ids == [i for _ in segments for i in next(each).ids] for whole, segments in zip(ids, cut, strict=True))
+
+
+_ENCODERS: dict[tuple[str, bool], SegmentEncoder | WholeEncoder] = {}
 HELD.append(_ENCODERS)
 
 
-def library_encoder(path: str) -> SegmentEncoder:
-    """The encoder of a tokenizers-library file; special tokens' strings in a text are ordinary text."""
-    if path not in _ENCODERS:
+def library_encoder(path: str, special_as_text: bool = False) -> SegmentEncoder | WholeEncoder:
+    """The encoder of a tokenizers-library file.
+
+    Strings of special tokens in a text become those tokens, as the library's plain call
+    has it, or with ``special_as_text`` ordinary text.
+    """
+    key = path, special_as_text
+    if key not in _ENCODERS:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = special_as_text
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        added = [x.content for x in tokenizer.get_added_tokens_decoder().values() if not (special_as_text and x.special)]
+
+        def encode(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
         narrow = tokenizer.get_vocab_size() <= 1 << 16
-        _ENCODERS[path] = SegmentEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], narrow=narrow)
-    return _ENCODERS[path]
+        # Other added tokens may stand inside words or be normalised first; then texts stay whole.
+        simple = all(x.special and not x.normalized and x.content for x in tokenizer.get_added_tokens_decoder().values())
+        _ENCODERS[key] = SegmentEncoder(encode, narrow=narrow, apart=added) if simple and cuts_at_space(tokenizer) else WholeEncoder(encode)
+    return _ENCODERS[key]
 
 
 def crc32(ids: np.ndarray) -> int:

@@ -9,6 +9,7 @@ written as they come, so a task holds no more than a batch and its boundaries.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -32,19 +33,28 @@ READ_IDS = 1 << 20
 
 @dataclass(frozen=True)
 class TokenFileParams:
-    """``files``: how many; by default as many as shuffle partitions."""
+    """``files``: how many; by default as many as shuffle partitions.
+
+    ``special_as_text``: strings of special tokens in a text are ordinary text, not these tokens.
+    """
 
     tokenizer: str
     end_id: int = 1
     id_bytes: int = 2
     files: int | None = None
+    special_as_text: bool = False
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI and the path there; Hadoop's names of S3 are the store's own."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
 
 
 class TokenFileWriter:
     """Writes one file under a name of its own and moves it to its place when it is whole."""
 
     def __init__(self, folder: str, name: str, id_bytes: int) -> None:
-        self.fs, root = fs.FileSystem.from_uri(folder)
+        self.fs, root = open_store(folder)
         self.fs.create_dir(root, recursive=True)
         self.place, self.draft = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}"
         self.out = self.fs.open_output_stream(self.draft)
@@ -87,7 +97,7 @@ class TokenFile:
     """A file read back; ``doc(i)`` gives one document's ids by two selects and one ranged read."""
 
     def __init__(self, path: str) -> None:
-        store, place = fs.FileSystem.from_uri(path)
+        store, place = open_store(path)
         self.file = store.open_input_file(place)
         size = self.file.size()
         tail = self.file.read_at(12, size - 12)
@@ -109,13 +119,21 @@ class TokenFile:
     def doc(self, i: int) -> np.ndarray:
         return self.ids(self.ends.select(i - 1) if i else 0, self.ends.select(i))
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.footer["nulls"] + (self.docs.decode() + self.footer["base"]).tolist()
+    def bounds(self, i: int, j: int) -> np.ndarray:
+        """Where documents i to j - 1 begin, and where the last of them ends."""
+        before = [self.ends.select(i - 1)] if i else [0]
+        return np.concatenate([before, self.ends.select_range(i, j)]).astype(np.int64)
+
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        """``doc_id`` of documents i to j - 1."""
+        nulls = self.footer["nulls"]
+        known = self.docs.select_range(max(i - nulls, 0), max(j - nulls, 0)) + self.footer["base"]
+        return [None] * max(0, min(nulls, j) - i) + known.tolist()
 
 
 def _write(params: TokenFileParams, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, out = library_encoder(params.tokenizer), TaskContext.get().partitionId(), None
+        encoder, shard, out = library_encoder(params.tokenizer, params.special_as_text), TaskContext.get().partitionId(), None
         name = f"ids-{shard:06d}.bin"
         for batch in batches:
             docs = batch.column("doc_id").cast(pa.int64())
@@ -154,26 +172,35 @@ def write_token_files(docs: DataFrame, params: TokenFileParams, folder: str) ->
     return spark.createDataFrame(rows, f"{_SHARD}, first_id long")
 
 
+#: Documents whose boundaries are selected at once.
+READ_DOCS = 4096
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, first in zip(batch.column("path").to_pylist(), batch.column("first_id").to_pylist(), strict=True):
             file = TokenFile(path)
-            ends, docs = file.ends.decode(), file.doc_ids()
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             i = 0
-            while i < len(ends):
-                j = max(i + 1, int(np.searchsorted(ends, starts[i] + READ_IDS, side="right")))
-                ids = file.ids(int(starts[i]), int(ends[j - 1]))
-                sums = [crc32(ids[a:b]) for a, b in zip(starts[i:j] - starts[i], ends[i:j] - starts[i], strict=True)]
+            while i < file.footer["n_docs"]:
+                at = file.bounds(i, min(i + READ_DOCS, file.footer["n_docs"]))
+                # As many documents as READ_IDS allow, one at least.
+                n = max(1, int(np.searchsorted(at, at[0] + READ_IDS, side="right")) - 1)
+                at = at[: n + 1]
+                ids = file.ids(int(at[0]), int(at[-1]))
+                sums = [crc32(ids[a:b]) for a, b in zip(at[:-1] - at[0], at[1:] - at[0], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[i:j], pa.int64()), pa.array(starts[i:j] + first), pa.array(ends[i:j] - starts[i:j]), pa.array(sums, pa.int64())],
+                    [pa.array(file.doc_ids(i, i + n), pa.int64()), pa.array(at[:-1] + first), pa.array(np.diff(at)), pa.array(sums, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
-                i = j
+                i += n
 
 
 def read_token_files(shards: DataFrame) -> DataFrame:
-    """What the files hold, by document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``."""
+    """What the files hold, by document: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``.
+
+    Boundaries and ids of documents come from the files' select structures, some
+    thousands at a time, so no file's table of offsets is ever unpacked as a whole.
+    """
     return map_arrow(shards.select("path", "first_id"), _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
