@@ -3,15 +3,18 @@
 A fingerprint is the sum of its paragraphs' vectors, so paragraphs can be added or taken
 away in any order.  A paragraph's vector has two parts:
 
-* ``DIGEST`` lanes modulo 2**64, all of them hashed from the paragraph; they tell equal
-  multisets of paragraphs from others.
-* ``LANES`` wide lanes modulo 2**32, more than a text has words: each word triple of the paragraph adds +1 or -1 to
-  one lane.  Sums of these keep inner products, so the cosine of two fingerprints
-  estimates how much of their word triples two documents share, to about
-  1 / sqrt(LANES).
+* ``DIGEST`` lanes modulo 2**64: the 256 bits of the paragraph's blake2b digest; they
+  tell equal multisets of paragraphs from others.
+* ``LANES`` wide lanes modulo 2**32: a feature hash of the paragraph, in which each of
+  its word triples adds +1 or -1 to one lane.  Sums of these keep inner products, so the
+  cosine of two fingerprints estimates how much of their word triples two documents
+  share, to about 1 / sqrt(LANES).  (A hash of the paragraph as a whole would call an
+  edited paragraph wholly unlike; texts of one paragraph would have no likeness at all.)
 
 Paragraphs are the lines of a text; a line without words (white space alone) still
-counts in the digest, and a triple that would cross the end of a line is none.
+counts in the digest, and a triple that would cross the end of a line is none.  Lanes
+wrap without a fault as long as no lane's true sum passes 2**31, which takes a text of
+over two thousand million triples of one kind.
 """
 
 from __future__ import annotations
@@ -30,19 +33,19 @@ from tidewalk.llm.common import map_arrow
 from tidewalk.llm.shingles import mix, word_hashes
 
 DIGEST, LANES = 4, 256
-_SALTS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93)]
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _line_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64 bits of each line's bytes, case and all, by blake2b, and the line's document."""
+    """256 bits of each line's bytes, case and all, by blake2b, as ``DIGEST`` numbers, and the line's document."""
     raw = data.tobytes()
     out, owner, at = [], [], 0
     for k, end in enumerate(ends.tolist()):
         lines = raw[at:end].split(b"\n") if end > at else []
-        out += [hashlib.blake2b(x, digest_size=8).digest() for x in lines]
+        out += [hashlib.blake2b(x, digest_size=8 * DIGEST).digest() for x in lines]
         owner += [k] * len(lines)
         at = end
-    return np.frombuffer(b"".join(out), dtype="<u8").astype(np.uint64), np.array(owner, dtype=np.int64)
+    return np.frombuffer(b"".join(out), dtype="<u8").astype(np.uint64).reshape(-1, DIGEST), np.array(owner, dtype=np.int64)
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,9 +57,9 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lines, owner = _line_hashes(data, ends)
     digest = np.zeros((n, DIGEST), np.uint64)
     cuts = np.searchsorted(owner, np.arange(n + 1))
-    for k, salt in enumerate(_SALTS):
+    for k in range(DIGEST):
         sums = np.zeros(len(lines) + 1, np.uint64)
-        np.cumsum(mix(mix(lines) ^ salt), out=sums[1:])
+        np.cumsum(lines[:, k], out=sums[1:])
         digest[:, k] = sums[cuts[1:]] - sums[cuts[:-1]]
     wide = np.zeros((n, LANES), np.int64)
     if len(data):
@@ -74,7 +77,7 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for k in range(3):
                 shifted = np.zeros(len(word), np.uint64)
                 shifted[: max(0, len(word) - k)] = word[k:]
-                acc = np.where(left > k, acc * _SALTS[3] + shifted, acc)
+                acc = np.where(left > k, acc * _STEP + shifted, acc)
             keep = (left >= 3) | first
             h = mix(acc[keep])
             sign = 1.0 - 2.0 * (h >> np.uint64(63)).astype(np.float64)
