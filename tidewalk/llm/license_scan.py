@@ -18,11 +18,10 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewalk.llm.common import ascii_lower
+from tidewalk.llm.common import Workspace, ascii_lower
 
 # Base phrases and their labels.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -153,9 +152,8 @@ def scan_licenses(docs: DataFrame, params: LicenseParams | None = None) -> DataF
         F.when(F.size("hits") > 0, _base_places(F.col("words"), F.col("hits"))).alias("base"),
         F.when(F.size("hits") > 0, held).alias("phrases"),
     )
-    # Kept on the executors' disks: one scan away from its source, so a lost part is soon
-    # made again, and with the same row numbers, which count within the source's splits.
-    scanned = scanned.persist(StorageLevel.DISK_ONLY)
+    # Written once, so that row numbers stay as they are whatever executor is lost.
+    scanned = Workspace(spark, "licences").table(scanned, "scan")
 
     # Document frequencies: one row per indexed word.
     total = scanned.count()
