@@ -192,11 +192,17 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_classifier(docs: DataFrame, grades: DataFrame, params: ClassifierParams) -> OrdinalModel:
-    """Fit on labelled documents: ``grades`` has ``doc_id`` and ``grade`` (0 and up; rows with nulls or negative grades are left out)."""
+    """Fit on labelled documents: ``grades`` has ``doc_id`` and ``grade`` (0 and up; rows with nulls or negative grades are left out).
+
+    At most ``sample_rows`` documents come to the driver, as hashed features.  Of several
+    grades of an id the least counts, of several texts the smallest (null: empty).
+    """
     usable = grades.select("doc_id", F.col("grade").cast("int").alias("grade")).where("doc_id is not null and grade >= 0")
     sample = usable.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample_rows)
     # At most sample_rows rows of two numbers.
-    some = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("grade", "text")
+    some = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    # Of rows that share an id the smallest text counts, so that the ids' bound is the rows' as well.
+    some = some.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade")).select("grade", "text")
     rows = map_arrow(some, _extract, "grade int, cells binary").collect()
     cells = [np.frombuffer(r["cells"], "<u4") for r in rows]
     starts = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int64)
@@ -250,7 +256,12 @@ def _filter(model, params: ClassifierParams):
 
 
 def keep_good_documents(docs: DataFrame, grades: DataFrame, params: ClassifierParams | None = None) -> DataFrame:
-    """The rows of ``docs`` that ``grade_documents`` keeps, all columns as they were; nothing is shuffled."""
+    """The rows of ``docs`` that ``grade_documents`` keeps, all columns as they were; nothing but the sample is shuffled.
+
+    Rows are judged by their own text (null: empty), so null and repeated ids are kept or
+    not like any other; without any usable label all rows have the same verdict; an
+    empty table gives no rows.
+    """
     params = params or ClassifierParams()
     sent = docs.sparkSession.sparkContext.broadcast(fit_classifier(docs, grades, params))
     return map_arrow(docs, _filter(sent, params), docs.schema)
