@@ -6,6 +6,7 @@ import datetime
 
 import pytest
 
+from tidewalk.functions import geometry
 from tidewalk.operators import lines, tracks, zones
 from tidewalk.registry import Line, Zone
 
@@ -56,12 +57,24 @@ def test_zones_of_one_camera_do_not_disturb_each_other(spark):
     assert {(r["zone"], r["entries"]) for r in got} == {("square", 2), ("far", 2)}
 
 
-def test_arrays_give_the_same_as_columns(spark, monkeypatch):
+def test_edges_in_an_array_give_the_same_as_columns(spark, monkeypatch):
     points = rows(spark, {t: [POINT[c] for c in "OioioIoiIO"[t:]] for t in range(5)})
-    one = sorted(map(tuple, zones.count_zones(points, {"cam": [BIG, SQUARE.model_copy(update={"name": "b"})]}, {"cam": 2.0}).collect()))
-    monkeypatch.setattr(tracks, "MOST_EDGES", 0)
-    two = sorted(map(tuple, zones.count_zones(points, {"cam": [BIG, SQUARE.model_copy(update={"name": "b"})]}, {"cam": 2.0}).collect()))
-    assert one == two
+    shapes = {"cam": [BIG, SQUARE.model_copy(update={"name": "b"}), Zone(name="c", polygon=[(0, 0), (50, 0), (100, 40), (100, 100), (40, 100)])]}
+    one = sorted(map(tuple, zones.count_zones(points, shapes, {"cam": 2.0}).collect()))
+    monkeypatch.setattr(geometry, "UNROLLED", 2)
+    two = sorted(map(tuple, zones.count_zones(points, shapes, {"cam": 2.0}).collect()))
+    assert one == two and one
+
+
+def test_fifty_cameras_need_no_python_and_no_larger_plan(spark):
+    many = {f"cam{k}": [Zone(name=f"z{k}", polygon=[(0, 0), (100, 0), (100, 100), (50, 120 + k), (0, 100)])] for k in range(50)}
+    doors = {f"cam{k}": [Line(name=f"l{k}", points=[(0, 10), (20, 10), (30, 15), (40 + k, 10)], inside_point=(10, 0), line_group="g")] for k in range(50)}
+    points, bands = rows(spark, {1: [POINT["I"]]}, camera="cam7"), {f"cam{k}": 1.0 for k in range(50)}
+    for many_of, count, few in ((many, zones.count_zones, {"cam7": many["cam7"]}), (doors, lines.count_lines, {"cam7": doors["cam7"]})):
+        plans = [count(points, shapes, bands)._jdf.queryExecution().executedPlan().toString() for shapes in (many_of, few)]
+        assert "Pandas" not in plans[0] and "Arrow" not in plans[0]
+        assert len(plans[0]) < 1.2 * len(plans[1])
+    assert [tuple(r)[:2] for r in zones.count_zones(points, many, bands).collect()] == [("cam7", "z7")]
 
 
 def test_no_rows_give_no_counts(spark):
@@ -96,9 +109,9 @@ CUP = dict(name="door", points=[(0, 0), (0, 20), (30, 20), (30, 0)], inside_poin
         (DOOR, [(25, 20), (25, 0), (10, 0), (10, 20), (10, 0)], 0, (1, 1)),
     ],
 )
-@pytest.mark.parametrize(("most_edges", "step_seconds"), [(0, 1), (16, 1), (16, 25), (16, 60)])
-def test_crossings(spark, monkeypatch, line, path, band, want, most_edges, step_seconds):
-    monkeypatch.setattr(tracks, "MOST_EDGES", most_edges)
+@pytest.mark.parametrize(("unrolled", "step_seconds"), [(1, 1), (16, 1), (16, 25), (16, 60)])
+def test_crossings(spark, monkeypatch, line, path, band, want, unrolled, step_seconds):
+    monkeypatch.setattr(geometry, "UNROLLED", unrolled)
     shape = {"cam": [Line(**line)]}, {"cam": float(band)}
     got = lines.count_lines(rows(spark, {1: path}, step_seconds=step_seconds, minutes=1 if step_seconds > 1 else 60), *shape).collect()
     assert lines.crossings(rows(spark, {1: path}), *shape).count() == sum(want)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewalk.functions import geometry as G
@@ -11,20 +12,20 @@ from tidewalk.operators import tracks as K
 from tidewalk.registry import Line
 
 
-def line_structs(lines: list[Line], band: float) -> Column:
-    x, y, x0, y0 = (F.col(c) for c in ("foot_x", "foot_y", "from_x", "from_y"))
-    return F.array(
-        *[
-            F.struct(
-                F.lit(g.line_group).alias("line_group"),
-                F.lit(g.name).alias("line"),
-                G.signed_line_distance(x, y, g).alias("distance"),
-                G.crosses_line(x0, y0, x, y, g).alias("hit"),
-                F.lit(float(band)).alias("band"),
-            )
-            for g in lines
-        ]
-    )
+@lru_cache(maxsize=16)
+def _tests(application: str, count: int, further: bool) -> tuple[Column, Column]:
+    """Signed distance and hit over a dimension row's segments; kept, since building large expressions takes a driver seconds."""
+    x0, y0, x, y = (F.col(c) for c in ("from_x", "from_y", "foot_x", "foot_y"))
+    segments, more = G.beside(G.SEGMENT, count), F.col("more") if further else None
+    return G.segments_distance(x, y, segments, more), G.meets_segments(x0, y0, x, y, segments, more)
+
+
+def _shapes(spark: SparkSession, lines: dict[str, list[Line]], bands: dict[str, float]) -> tuple[DataFrame, Column, Column]:
+    """The lines as a dimension table, the distance to them and whether a step hits them."""
+    named = [(c, g) for c, own in lines.items() for g in own]
+    rows = [(c, at, g.line_group, g.name, float(bands[c]), G.line_segments(g)) for at, (c, g) in enumerate(named)]
+    table, count, further = K.shape_rows(spark, rows, "camera_id string, at int, line_group string, line string, band double", G.SEGMENT)
+    return table, *_tests(spark.sparkContext.applicationId, count, further)
 
 
 def with_steps(points: DataFrame, window: WindowSpec | None = None) -> DataFrame:
@@ -34,21 +35,18 @@ def with_steps(points: DataFrame, window: WindowSpec | None = None) -> DataFrame
 
 
 def beside_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
-    """Each row with each line of its camera: ``line_group, line, distance`` (signed), ``hit`` and ``band``."""
-    used = {c: own for c, own in lines.items() if own}
-    if sum(len(g.points) for own in used.values() for g in own) <= K.MOST_EDGES:
-        return K.shapes_beside(stepped, {c: line_structs(own, bands[c]) for c, own in used.items()}, "shape").select(*stepped.columns, "shape.*")
+    """Each row with each line of its camera: ``line_group, line, distance`` (signed), ``hit`` and ``band``; rows of other cameras go."""
+    shapes, distance, hit = _shapes(stepped.sparkSession, lines, bands)
+    return stepped.join(shapes, "camera_id").select(*stepped.columns, "line_group", "line", distance.alias("distance"), hit.alias("hit"), "band")
 
-    def compute(camera: str, rows: pd.DataFrame) -> list[pd.DataFrame]:
-        x, y, x0, y0 = (rows[c].to_numpy(float) for c in ("foot_x", "foot_y", "from_x", "from_y"))
-        return [rows.assign(line_group=g.line_group, line=g.name, distance=G.np_signed_line_distance(x, y, g), hit=G.np_crosses_line(x0, y0, x, y, g), band=float(bands[camera])) for g in used[camera]]
 
-    return K.shapes_by_array(stepped, list(used), compute, "line_group string, line string, distance double, hit boolean, band double")
-
-
-def sided_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
-    """Rows by line with ``hit`` and ``side``."""
-    return beside_lines(stepped, lines, bands).withColumn("side", G.side(F.col("distance"), F.col("band"))).drop("distance", "band")
+def sided_lines(stepped: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float], more_rows: str = "false") -> DataFrame:
+    """Rows by line (``at``) with ``hit`` and ``side``; those within the band that don't hit the line change nothing and are left out, but for ``more_rows``."""
+    shapes, distance, hit = _shapes(stepped.sparkSession, lines, bands)
+    found = K.once(distance.alias("distance"), hit.alias("hit")).alias("_one")
+    placed = stepped.join(shapes, "camera_id").select(*stepped.columns, "at", "line_group", "line", "band", found)
+    told = placed.select(*stepped.columns, "at", "line_group", "line", "_one.hit", G.side(F.col("_one.distance"), F.col("band")).alias("side"))
+    return told.where(f"hit or side is not null or {more_rows}")
 
 
 def _with_history(sided: DataFrame, window: WindowSpec) -> DataFrame:
@@ -70,8 +68,7 @@ def is_crossing() -> Column:
 def crossings(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str, float]) -> DataFrame:
     """One row per crossing: ``direction`` 1 is towards the inside point."""
     stepped = with_steps(points.where(F.col("camera_id").isin([c for c, own in lines.items() if own])))
-    # Rows within the band that don't hit the line change nothing.
-    told = sided_lines(stepped, lines, bands).where("hit or side is not null").drop("foot_x", "foot_y", "from_x", "from_y")
+    told = sided_lines(stepped, lines, bands).drop("foot_x", "foot_y", "from_x", "from_y")
     states = _with_history(told, K.by_track("line"))
     return states.where(is_crossing()).select("line_group", "camera_id", "line", "track_id", "clock", "time_bucket", F.col("side").alias("direction"))
 
@@ -85,40 +82,37 @@ def count_lines(points: DataFrame, lines: dict[str, list[Line]], bands: dict[str
     """
     cameras = [c for c, own in lines.items() if own]
     together = points.where(F.col("camera_id").isin(cameras)).repartition(*K.PIECE)
-    whole = K.by_piece().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    stepped = with_steps(together, K.by_piece()).withColumns({"end_x": F.last("foot_x").over(whole), "end_y": F.last("foot_y").over(whole)})
-    # A piece's first row stays even if it says nothing: the step into the piece ends there.
-    told = sided_lines(stepped, lines, bands).where("hit or side is not null or isnan(from_x)")
-    rows = _with_history(told, K.by_piece("line"))
+    stepped = with_steps(together, K.by_piece()).withColumn("ends", F.lead(F.lit(False), 1, True).over(K.by_piece()))
+    # A piece's first and last rows stay even if they say nothing: the steps into and out of the piece end there.
+    told = sided_lines(stepped, lines, bands, "isnan(from_x) or ends").drop("line_group", "line", "from_x", "from_y")
+    rows = _with_history(told, K.by_piece("at"))
     turn = F.when(is_crossing(), F.col("side"))
     at = F.struct(*K.ORDER)
     when = F.when(F.col("side").isNotNull(), at)
-    pieces = rows.groupBy(*K.PIECE, "line_group", "line").agg(
+    pieces = rows.groupBy(*K.PIECE, "at").agg(
         F.count_if(turn == 1).alias("turns_in"),
         F.count_if(turn == -1).alias("turns_out"),
-        F.min_by("side", when).alias("side"),
-        F.min_by("hits", when).alias("first_hits"),
-        F.max_by("side", when).alias("last"),
-        F.max_by("hits", when).alias("last_hits"),
+        F.min_by(F.struct("side", "hits"), when).alias("first"),
+        F.max_by(F.struct("side", "hits"), when).alias("last"),
         F.max("hits").alias("total"),
-        *(F.min_by(c, at).alias(c) for c in ("foot_x", "foot_y")),
-        *(F.max(c).alias(c) for c in ("end_x", "end_y")),
+        F.min_by(F.struct("foot_x", "foot_y"), at).alias("enter"),
+        F.max_by(F.struct("foot_x", "foot_y"), at).alias("leave"),
     )
     # The step into a piece: from the last point of the piece before to its own first.
-    before, nan = K.along_pieces("line"), float("nan")
-    joined = pieces.withColumns({"from_x": F.lag("end_x", 1, nan).over(before), "from_y": F.lag("end_y", 1, nan).over(before)})
-    step = F.lit(None)
-    for camera in cameras:
-        for g in lines[camera]:
-            met = G.crosses_line(F.col("from_x"), F.col("from_y"), F.col("foot_x"), F.col("foot_y"), g)
-            step = F.when((F.col("camera_id") == camera) & (F.col("line") == g.name), met).otherwise(step)
-    joined = joined.withColumn("step", F.coalesce(step, F.lit(False)).cast("long"))
-    along = K.along_pieces("line")
+    along, nan = K.along_pieces("at"), F.lit(float("nan"))
+    left = F.lag("leave").over(along)
+    joined = pieces.withColumns({"left": left}).select(
+        *K.PIECE, "at", "turns_in", "turns_out", "first", "last", "total",
+        F.coalesce("left.foot_x", nan).alias("from_x"), F.coalesce("left.foot_y", nan).alias("from_y"), F.col("enter.foot_x").alias("foot_x"), F.col("enter.foot_y").alias("foot_y"),
+    )
+    shapes, _, hit = _shapes(points.sparkSession, lines, bands)
+    stepped = joined.join(shapes.drop("camera_id", "band"), "at").select(*K.PIECE, "at", "line_group", "line", "turns_in", "turns_out", "first", "last", "total", hit.cast("long").alias("step"))
     gone = along.rowsBetween(Window.unboundedPreceding, -1)
     # Hits along the whole track: those of all pieces before, the step in, then the piece's own.
-    own = joined.withColumn("base", F.coalesce(F.sum(F.col("step") + F.col("total")).over(gone), F.lit(0)) + F.col("step"))
-    own = own.withColumns({"hits": F.col("base") + F.col("first_hits"), "confirmed": F.when(F.col("last").isNotNull(), F.col("base") + F.col("last_hits"))})
-    own = own.withColumns({"before": F.last("last", ignorenulls=True).over(gone), "hits_before": F.last("confirmed", ignorenulls=True).over(gone)})
+    own = stepped.withColumn("base", F.coalesce(F.sum(F.col("step") + F.col("total")).over(gone), F.lit(0)) + F.col("step"))
+    own = own.withColumns({"side": F.col("first.side"), "hits": F.col("base") + F.col("first.hits"), "confirmed": F.when(F.col("last").isNotNull(), F.struct(F.col("last.side").alias("side"), (F.col("base") + F.col("last.hits")).alias("hits")))})
+    own = own.withColumn("then", F.last("confirmed", ignorenulls=True).over(gone))
+    own = own.withColumns({"before": F.col("then.side"), "hits_before": F.col("then.hits")})
     first = F.when(F.coalesce(is_crossing(), F.lit(False)), F.col("side"))
     counts = own.groupBy("line_group", "camera_id", "line", "time_bucket").agg(
         F.sum(F.col("turns_in") + F.when(first == 1, 1).otherwise(0)).cast("long").alias("in_count"),

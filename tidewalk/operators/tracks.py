@@ -9,12 +9,10 @@ distinct tracks need no distinct aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidewalk.functions import geometry as G
 from tidewalk.functions import times
 from tidewalk.schemas import REQUIRED_TRACKING
 
@@ -72,36 +70,40 @@ def committed_before(side: Column, window: WindowSpec) -> Column:
     return F.last(side, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
 
-#: With more edges than this in all, shapes are computed on arrays: one expression would outgrow a generated method (64 KB).
-MOST_EDGES = 16
-
+#: Bytes of shapes that are sent to every executor; more are joined as Spark sees fit.
+MOST_BROADCAST = 64 << 20
 
-def per_camera(values: dict[str, Column]) -> Column:
-    """The column of the row's camera; null for cameras without one."""
-    chosen = F.lit(None)
-    for camera, value in values.items():
-        chosen = F.when(F.col("camera_id") == camera, value).otherwise(chosen)
-    return chosen
 
+def shape_rows(spark: SparkSession, shapes: list[tuple], about: str, numbers: tuple[str, ...]) -> tuple[DataFrame, int, bool]:
+    """Shapes as a dimension table: a row per shape with the columns of ``about`` and its edges' numbers.
 
-def shapes_beside(points: DataFrame, shapes: dict[str, Column], name: str) -> DataFrame:
-    """Each row once for each shape of its camera, the shape's struct in column ``name``; rows of other cameras go.
-
-    The shapes of a camera are computed in one pass over its rows.  The outer form of
-    explode is used because Spark puts a filter on the exploded array below the plain
-    one, and would compute all shapes twice.
+    ``shapes`` are rows whose last value is the list of edges.  Returns the table, how many
+    edges are columns of their own, and whether some are in the array ``more``.  Shapes
+    with fewer edges repeat their last one, which changes neither parity (an edge is
+    closed to a point), distance nor hits.
     """
-    kept = points.where(F.col("camera_id").isin(list(shapes)))
-    return kept.withColumn("_shapes", per_camera(shapes)).withColumn(name, F.explode_outer("_shapes")).drop("_shapes")
-
-
-def shapes_by_array(points: DataFrame, cameras: list[str], compute: Callable[[str, pd.DataFrame], list[pd.DataFrame]], added: str) -> DataFrame:
-    """On arrays: ``compute`` gives a camera's rows with the ``added`` columns, as often as there are to be rows."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for camera, own in part.groupby("camera_id", sort=False):
-                yield from compute(camera, own)
-
-    return points.where(F.col("camera_id").isin(cameras)).mapInPandas(run, f"{kinds}, {added}")
+    count = max(1, min(G.UNROLLED, max((len(s[-1]) for s in shapes), default=1)))
+    further = any(len(s[-1]) > count for s in shapes)
+    rows = []
+    for *told, edges in shapes:
+        own = edges[:count]
+        own = own + [_closed(own[-1], numbers)] * (count - len(own))
+        rows.append((*told, *(v for e in own for v in e), *([[tuple(e) for e in edges[count:]]] if further else [])))
+    schema = ", ".join([about, *(f"{n}_{k} double" for k in range(count) for n in numbers)])
+    schema += f", more array<struct<{','.join(f'{n}:double' for n in numbers)}>>" * further
+    table = spark.createDataFrame(rows, schema)
+    size = 8 * sum(len(numbers) * max(count, len(s[-1])) + 16 for s in shapes)
+    return F.broadcast(table) if size <= MOST_BROADCAST else table, count, further
+
+
+def _closed(last: tuple[float, ...], numbers: tuple[str, ...]) -> tuple[float, ...]:
+    """The last edge again: a polygon's as its end point, so that it is crossed by nothing."""
+    if numbers != G.EDGE:
+        return last
+    _, _, bx, by, _, _ = last
+    return bx, by, bx, by, 1.0, 1.0
+
+
+def once(*columns: Column) -> Column:
+    """A struct of columns that later filters use as it is: Spark puts a filter below a plain projection and would compute them twice."""
+    return F.explode_outer(F.array(F.struct(*columns)))

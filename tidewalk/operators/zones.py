@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,32 +11,44 @@ from tidewalk.functions import geometry as G
 from tidewalk.operators import tracks as K
 from tidewalk.registry import Zone
 
+#: What a row is to a zone, in one byte: 1 inside, 2 beyond the band, 3 both.
+INSIDE, BEYOND = 1, 2
+
+
+@lru_cache(maxsize=16)
+def _tests(application: str, count: int, further: bool) -> tuple[Column, Column]:
+    """Inside and distance over a dimension row's edges; kept, since building large expressions takes a driver seconds."""
+    x, y, edges, more = F.col("foot_x"), F.col("foot_y"), G.beside(G.EDGE, count), F.col("more") if further else None
+    return G.inside_edges(x, y, edges, more), G.edges_distance(x, y, edges, more)
 
-def zone_structs(zones: list[Zone], band: float) -> Column:
-    x, y = F.col("foot_x"), F.col("foot_y")
-    return F.array(*[F.struct(F.lit(z.name).alias("zone"), G.in_polygon(x, y, z).alias("inside"), G.polygon_distance(x, y, z).alias("distance"), F.lit(float(band)).alias("band")) for z in zones])
+
+def _placed(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> tuple[DataFrame, Column, Column]:
+    """Each row with each zone of its camera (``at``, ``zone``, ``band``); whether it is inside, and its distance to the outline."""
+    named = [(c, z) for c, own in zones.items() for z in own]
+    rows = [(c, at, z.name, float(bands[c]), G.zone_edges(z)) for at, (c, z) in enumerate(named)]
+    shapes, count, further = K.shape_rows(points.sparkSession, rows, "camera_id string, at int, zone string, band double", G.EDGE)
+    return points.join(shapes, "camera_id"), *_tests(points.sparkSession.sparkContext.applicationId, count, further)
 
 
 def beside_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
-    """Each row with each zone of its camera: ``zone, inside, distance`` (to the outline) and ``band``."""
-    used = {c: own for c, own in zones.items() if own}
-    if sum(len(z.polygon) for own in used.values() for z in own) <= K.MOST_EDGES:
-        return K.shapes_beside(points, {c: zone_structs(own, bands[c]) for c, own in used.items()}, "shape").select(*points.columns, "shape.*")
+    """Each row with each zone of its camera: ``zone, inside, distance`` (to the outline) and ``band``; rows of other cameras go."""
+    placed, inside, distance = _placed(points, zones, bands)
+    return placed.select(*points.columns, "zone", inside.alias("inside"), distance.alias("distance"), "band")
 
-    def compute(camera: str, rows: pd.DataFrame) -> list[pd.DataFrame]:
-        x, y, out = rows["foot_x"].to_numpy(), rows["foot_y"].to_numpy(), []
-        for z in used[camera]:
-            signed = G.np_signed_polygon_distance(x, y, z)
-            out.append(rows.assign(zone=z.name, inside=G.np_in_polygon(x, y, z), distance=np.abs(signed), band=float(bands[camera])))
-        return out
 
-    return K.shapes_by_array(points, list(used), compute, "zone string, inside boolean, distance double, band double")
+def with_codes(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
+    """Rows by zone with ``code``, what they are to it; rows within the band and outside the zone change nothing and are left out.
+
+    This is computed where rows are read; foot points go, so that they aren't shuffled.
+    """
+    placed, inside, distance = _placed(points, zones, bands)
+    code = inside.cast("int") * INSIDE + (distance > F.col("band")).cast("int") * BEYOND
+    coded = placed.select(*K.TRACK, *K.ORDER, "time_bucket", "at", "zone", K.once(code.cast("tinyint").alias("code")).alias("_one"))
+    return coded.where("_one.code <> 0").select(*K.TRACK, *K.ORDER, "time_bucket", "at", "zone", "_one.code")
 
 
-def sided_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
-    """Rows by zone with ``inside`` and ``side``; rows within the band and outside the zone change nothing and are left out."""
-    sided = beside_zones(points, zones, bands).withColumn("side", G.side_of(F.col("inside"), F.col("distance"), F.col("band")))
-    return sided.where("inside or side is not null").select(*K.TRACK, *K.ORDER, "time_bucket", "zone", "inside", "side")
+def side_of_code() -> Column:
+    return F.when(F.col("code") == INSIDE + BEYOND, 1).when(F.col("code") == BEYOND, -1)
 
 
 def is_entry(before: Column | None = None) -> Column:
@@ -51,43 +63,11 @@ def is_entry(before: Column | None = None) -> Column:
 
 def zone_entries(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
     """One row per entry, with its track, frame and time."""
-    states = sided_zones(points, zones, bands).withColumn("before", K.committed_before(F.col("side"), K.by_track("zone")))
+    sided = with_codes(points, zones, bands).withColumn("side", side_of_code()).where("side is not null")
+    states = sided.withColumn("before", K.committed_before(F.col("side"), K.by_track("zone")))
     return states.where(is_entry()).select("camera_id", "zone", "track_id", "frame_id", "clock", "time_bucket")
 
 
-# What a row is to a zone, in one byte.
-BEYOND_INSIDE, WITHIN_INSIDE, WITHIN_OUTSIDE, BEYOND_OUTSIDE = 2, 1, 0, -1
-
-
-def with_codes(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
-    """Rows with ``codes``: for each zone of their camera, in order, what they are to it; foot points go.
-
-    This is computed where rows are read, so that only codes are shuffled.
-    """
-    x, y = F.col("foot_x"), F.col("foot_y")
-    used = {c: own for c, own in zones.items() if own}
-    columns = [c for c in points.columns if c not in ("foot_x", "foot_y")]
-    if sum(len(z.polygon) for own in used.values() for z in own) <= K.MOST_EDGES:
-
-        def code(z: Zone, band: float) -> Column:
-            beyond = G.polygon_distance(x, y, z) > F.lit(float(band))
-            inside, outside = F.when(beyond, BEYOND_INSIDE).otherwise(WITHIN_INSIDE), F.when(beyond, BEYOND_OUTSIDE).otherwise(WITHIN_OUTSIDE)
-            return F.when(G.in_polygon(x, y, z), inside).otherwise(outside).cast("tinyint")
-
-        coded = points.where(F.col("camera_id").isin(list(used))).withColumn("codes", K.per_camera({c: F.array(*[code(z, bands[c]) for z in own]) for c, own in used.items()}))
-        return coded.select(*columns, "codes")
-
-    def compute(camera: str, rows: pd.DataFrame) -> list[pd.DataFrame]:
-        px, py, codes = rows["foot_x"].to_numpy(), rows["foot_y"].to_numpy(), []
-        for z in used[camera]:
-            signed, inside = G.np_signed_polygon_distance(px, py, z), G.np_in_polygon(px, py, z)
-            beyond = np.abs(signed) > bands[camera]
-            codes.append(np.where(inside, np.where(beyond, BEYOND_INSIDE, WITHIN_INSIDE), np.where(beyond, BEYOND_OUTSIDE, WITHIN_OUTSIDE)))
-        return [rows.assign(codes=list(np.stack(codes, axis=1).astype(np.int8)))]
-
-    return K.shapes_by_array(points, list(used), compute, "codes array<tinyint>").select(*columns, "codes")
-
-
 def count_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str, float]) -> DataFrame:
     """``camera_id, zone, time_bucket, unique_visitors, entries``; a bucket without either has no row.
 
@@ -95,19 +75,19 @@ def count_zones(points: DataFrame, zones: dict[str, list[Zone]], bands: dict[str
     a track knows its entries but for one: whether its first committed side is one
     depends on the last of the pieces before.
     """
-    together = with_codes(points, zones, bands).repartition(*K.PIECE)
-    coded = together.select(*K.PIECE, *K.ORDER, F.posexplode_outer("codes").alias("at", "code")).where(F.col("code") != WITHIN_OUTSIDE)
-    rows = coded.withColumn("side", F.when(F.col("code") == BEYOND_INSIDE, 1).when(F.col("code") == BEYOND_OUTSIDE, -1))
+    spark = points.sparkSession
+    coded = with_codes(points, zones, bands).drop("zone").repartition(*K.PIECE)
+    rows = coded.withColumn("side", side_of_code())
     rows = rows.withColumn("before", K.committed_before(F.col("side"), K.by_piece("at")))
     sided = F.when(F.col("side").isNotNull(), F.struct(*K.ORDER))
     pieces = rows.groupBy(*K.PIECE, "at").agg(
-        F.max((F.col("code") > 0).cast("int")).alias("seen"),
+        F.max(F.col("code").bitwiseAND(F.lit(INSIDE).cast("tinyint"))).alias("seen"),
         F.count_if((F.col("side") == 1) & (F.col("before") == -1)).alias("turns"),
         F.min_by("side", sided).alias("side"),
         F.max_by("side", sided).alias("last"),
     )
     along = K.along_pieces("at").rowsBetween(Window.unboundedPreceding, -1)
     own = pieces.withColumn("before", F.last("last", ignorenulls=True).over(along)).withColumn("entries", F.col("turns") + F.coalesce(is_entry(), F.lit(False)).cast("long"))
-    names = K.per_camera({c: F.array(*[F.lit(z.name) for z in shapes]) for c, shapes in zones.items() if shapes})
     out = own.groupBy("camera_id", "at", "time_bucket").agg(F.sum("seen").cast("long").alias("unique_visitors"), F.sum("entries").cast("long").alias("entries"))
-    return out.where("unique_visitors > 0 or entries > 0").select("camera_id", F.element_at(names, F.col("at") + 1).alias("zone"), "time_bucket", "unique_visitors", "entries")
+    names = spark.createDataFrame([(at, z.name) for at, z in enumerate(z for own in zones.values() for z in own)], "at int, zone string")
+    return out.where("unique_visitors > 0 or entries > 0").join(names, "at").select("camera_id", "zone", "time_bucket", "unique_visitors", "entries")

@@ -69,7 +69,7 @@ def side_classification(spark: SparkSession, sf: str) -> DataFrame:
     return _beside_zones(spark, sf).select("camera_id", "frame_id", "zone", F.coalesce("side", F.lit(0)).alias("side"))
 
 
-@query(S.sql("select distinct camera_id, frame_width::bigint as frame_width, band as band_px from trk where camera_id in ('loc_click', 'loc_view', 'loc_error')"))
+@query(S.sql("select distinct camera_id, frame_width::bigint as frame_width, band as band_px from trk"))
 def band_scaling(spark: SparkSession, sf: str) -> DataFrame:
     widths = checks.frame_widths(S.tracking(spark, sf))
     found = checks.bands_of(widths, list(S.ZONES), 25.0)

@@ -17,6 +17,8 @@ ZONES = {
     "loc_click": [Zone(name="za", polygon=[(200, 200), (1400, 150), (1300, 900), (250, 950)]), Zone(name="zd", polygon=[(1000, 100), (1900, 100), (1900, 1000), (1450, 1000), (1450, 500), (1000, 500)])],
     "loc_view": [Zone(name="zb", polygon=[(0, 0), (1000, 0), (1000, 400), (400, 400), (400, 1000), (0, 1000)])],
     "loc_error": [Zone(name="zc", polygon=[(960, 100), (1800, 1000), (120, 1000)])],
+    "loc_purchase": [Zone(name="ze", polygon=[(300, 100), (1700, 200), (1500, 600), (1750, 980), (900, 700), (200, 1000)])],
+    "loc_signup": [Zone(name="zf", polygon=[(100, 100), (960, 300), (1820, 100), (1820, 980), (960, 800), (100, 980)])],
 }
 LINES = {
     "loc_click": [
@@ -25,6 +27,8 @@ LINES = {
     ],
     "loc_view": [Line(name="lb", points=[(960, 0), (960, 1080)], inside_point=(1500, 540), line_group="mall")],
     "loc_error": [Line(name="lc", points=[(300, 200), (900, 800), (1500, 200)], inside_point=(900, 300), line_group="office")],
+    "loc_purchase": [Line(name="le", points=[(200, 300), (1700, 700)], inside_point=(960, 1000), line_group="office")],
+    "loc_signup": [Line(name="lf", points=[(100, 900), (700, 400), (1300, 800), (1900, 300)], inside_point=(960, 1070), line_group="office")],
 }
 BUCKET_MINUTES = 60
 
