@@ -287,3 +287,36 @@ def test_daily_refusals(spark, bucket):
     write([c | {"zones": [], "lines": []} for c in cameras])
     assert spark.read.parquet(daily.map_zones_daily(spark, DAY, str(root), 60, 10.0, out)).count() == 0
     assert spark.read.parquet(daily.count_lines_daily(spark, DAY, str(root), 60, 10.0, out)).columns == ["line_group", "camera_id", "line", "time_bucket", "in_count", "out_count"]
+
+
+@pytest.mark.parametrize("broken", [0, 1])
+def test_a_publication_cut_off_leaves_a_whole_table(spark, tmp_path, monkeypatch, broken):
+    """Moves fail one after the other: the old table is there, or comes back when it is read."""
+    from tidewalk.sources import store
+
+    path = f"{tmp_path}/table"
+    store.publish(spark.range(3), path)
+    real, moves = store._fs, []
+
+    class Failing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            moves.append((a, b))
+            return False if len(moves) == broken + 1 else self.fs.rename(a, b)
+
+    monkeypatch.setattr(store, "_fs", lambda s, p: (Failing(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError):
+        store.publish(spark.range(9), path)
+    monkeypatch.undo()
+    assert store.read(spark, path, "gone").count() == 3
+    # A machine that stops between the moves runs no clean-up at all.
+    fs, place = store._fs(spark, path)
+    fs.rename(place, store._fs(spark, f"{path}.old-1")[1])
+    assert store.read(spark, path, "gone").count() == 3
+    store.publish(spark.range(5), path)
+    assert store.read(spark, path, "gone").count() == 5 and store._aside(spark, path) == []

@@ -116,18 +116,20 @@ class AnalyzeStage(Settings):
     output: OutputSettings = Field(default_factory=OutputSettings)
 
 
+CONFIG_FILE, PROJECT_MARK = "config.toml", "pyproject.toml"
+
+
 def find_project_root(start: Path) -> Path | None:
-    """The nearest folder above with a ``pyproject.toml``."""
-    return next((p for p in start.parents if (p / "pyproject.toml").exists()), None)
+    """The nearest folder above ``start`` that is a project's."""
+    marked = (mark.parent for mark in (folder / PROJECT_MARK for folder in start.parents) if mark.exists())
+    return next(marked, None)
 
 
 def find_toml(caller_file: str | Path) -> Path | None:
-    """``config.toml`` of the caller's project (there or not), else that of the working folder if there is one."""
-    root = find_project_root(Path(caller_file).resolve())
-    if root:
-        return root / "config.toml"
-    here = Path.cwd() / "config.toml"
-    return here if here.exists() else None
+    """Where settings are read from: the caller's project names the file, there or not; without one, the working folder's if there is one."""
+    project = find_project_root(Path(caller_file).resolve())
+    places = [project / CONFIG_FILE] if project else [p for p in [Path.cwd() / CONFIG_FILE] if p.exists()]
+    return places[0] if places else None
 
 
 def _merged(low: dict[str, Any], high: dict[str, Any]) -> dict[str, Any]:

@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def camera_throughput(frames: DataFrame, elapsed_seconds: float) -> DataFrame:
-    """``camera_id, frames, fps`` over the run's own time; no time gives 0."""
+def rates(counts: DataFrame, elapsed_seconds: float) -> DataFrame:
+    """``fps`` beside ``frames``, over the run's own time; no time gives 0."""
     rate = F.coalesce(F.try_divide(F.col("frames").cast("double"), F.lit(float(max(elapsed_seconds, 0.0)))), F.lit(0.0))
-    return frames.groupBy("camera_id").agg(F.count("*").alias("frames")).withColumn("fps", rate)
+    return counts.withColumn("fps", rate)
+
+
+def camera_throughput(frames: DataFrame, elapsed_seconds: float) -> DataFrame:
+    """``camera_id, frames, fps`` over the run's own time."""
+    return rates(frames.groupBy("camera_id").agg(F.count("*").alias("frames")), elapsed_seconds)
 
 
 def overall_throughput(frames: DataFrame, elapsed_seconds: float, detect_seconds: float, track_seconds: float) -> DataFrame:

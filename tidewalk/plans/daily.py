@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.config import TrackerSettings
@@ -112,16 +114,24 @@ def analyze_daily(
     found = discover_segments(spark, bucket_dir, streams, date, registry.storage.file_ext).collect()  # a row per file of one day
     if lacking := [s for s in streams if s not in {r["camera_id"] for r in found}]:
         raise ValueError(f"no segments on {date} for {lacking}")
-    import json
-
     days = [{"camera_id": s, "segments": [(r["path"], r["relpath"], r["start"].isoformat()) for r in found if r["camera_id"] == s]} for s in streams]
     frame_source.register(spark)
     reader = spark.read.format(frame_source.FrameSource.name()).option("days", json.dumps(days))
     frames = (reader.option("decoder", decoder) if decoder else reader).load()
     # Frames without a box age tracks too; they are read apart, without pixels, since detectors give boxes only.
     every = reader.option("pixels", "false").load().select("camera_id", "frame_id", "timestamp")
+    # Counted as they are read, by camera: a number per camera of the registry.
+    seen = Observation("frames")
+    every = every.observe(seen, *[F.count_if(F.col("camera_id") == s).alias(f"frames_{k}") for k, s in enumerate(streams)])
     tracked = track_detections(detector(frames), tracker or TrackerSettings(), frames=every)
     path = f"{day_folder(output_root, bucket_dir, date)}/{TRACKING_FILE}"
     rows = tracked.withColumn("timestamp", times.instant(F.col("timestamp"))) if dict(tracked.dtypes)["timestamp"] == "timestamp_ntz" else tracked
+    began = time.monotonic()
     store.publish(rows, path, TRACKING)
-    return AnalysisResult(path, streams, throughput.camera_throughput(spark.read.parquet(path).select("camera_id", "timestamp").distinct(), 0.0))
+    seconds = time.monotonic() - began
+    counted = seen.get
+    counts = [(s, int(counted[f"frames_{k}"])) for k, s in enumerate(streams)]
+    rates = throughput.rates(spark.createDataFrame(counts, "camera_id string, frames long"), seconds)
+    total = sum(n for _, n in counts)
+    log.info("frames analysed", path=path, frames=total, seconds=round(seconds, 3), fps=round(total / seconds, 3) if seconds > 0 else 0.0, by_camera=dict(counts))
+    return AnalysisResult(path, streams, rates)

@@ -309,12 +309,23 @@ def segment_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return located.select("event_id", "start", times.frame_time(F.col("start"), F.col("event_id") % 1000, F.lit(25.0)).alias("frame_time"))
 
 
-@query("select 'square' as zone, 100.0::double as inradius")
+_GRID = """
+with e as (select * from (values {edges}) t(zone, k, ax, ay, bx, by_)),
+box as (select zone, min(ax)::double as x0, max(ax)::double as x1, min(ay)::double as y0, max(ay)::double as y1 from e group by zone),
+steps as (select *, greatest(32, ceil((x1 - x0) / 40.0) + 1) as nx, greatest(32, ceil((y1 - y0) / 40.0) + 1) as ny from box),
+grid as (select zone, x0 + (x1 - x0) * i / (nx - 1) as x, y0 + (y1 - y0) * j / (ny - 1) as y from steps, generate_series(0, nx::bigint - 1) a(i), generate_series(0, ny::bigint - 1) b(j)),
+far as (
+  select zone, x, y, sum(case when ((by_ > y) <> (ay > y)) and x < (ax - bx) * (y - by_) / nullif(ay - by_, 0) + bx then 1 else 0 end) % 2 = 1 as inside,
+    min(sqrt(pow(x - ax - t * (bx - ax), 2) + pow(y - ay - t * (by_ - ay), 2))) as d
+  from (select *, greatest(0, least(1, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) as t from grid join e using (zone)) group by all)
+select zone, round(max(case when inside then d else -d end), 6) as inradius from far group by zone
+"""
+
+
+@query(_GRID.replace("{edges}", ", ".join(f"('{z.name}', {k}, {a[0]}, {a[1]}, {b[0]}, {b[1]})" for own in S.ZONES.values() for z in own for k, (a, b) in enumerate(z.edges()))))
 def zone_inradius_grid(spark: SparkSession, sf: str) -> DataFrame:
-    from tidewalk.registry import Zone
-
-    square = Zone(name="square", polygon=[(0, 0), (200, 0), (200, 400), (0, 400)])
-    return spark.createDataFrame([("square", round(G.inradius(square, 1.0), 6))], "zone string, inradius double")
+    """Every zone's inradius over a grid of 40 pixels."""
+    return spark.createDataFrame([(z.name, round(G.inradius(z, 40.0), 6)) for own in S.ZONES.values() for z in own], "zone string, inradius double")
 
 
 @query()

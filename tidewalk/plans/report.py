@@ -132,7 +132,9 @@ def write_workbook(path: str | Path, frames: ReportFrames, date: datetime.date,
 def write_tables(frames: ReportFrames, date: datetime.date, root: str, mode: str) -> None:
     """The same report as Parquet tables partitioned by date, for histories that outgrow a workbook.
 
-    ``overwrite`` replaces the partitions of the run's dates in every table, one by one.
+    ``overwrite`` replaces the partitions of the run's dates in every table: new rows are
+    staged by Spark and take their partitions' places when all are written; only then go
+    the partitions of dates without new rows.
     """
     if mode not in MODES:
         raise ValueError(f"no such mode: {mode}")
@@ -146,11 +148,15 @@ def write_tables(frames: ReportFrames, date: datetime.date, root: str, mode: str
         if tables and (clash := [r["date"] for r in date_conflicts(tables, wanted).collect()]):
             raise ValueError(f"the report already has {sorted(clash)}; nothing was written")
     for name, frame in given:
+        own: set[str] = set()
+        if frame is not None and mode == "overwrite":
+            own = {r["date"] for r in frame.select("date").distinct().collect()}
+            frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(old[name])
+        elif frame is not None:
+            frame.write.mode("append").partitionBy("date").parquet(old[name])
         if mode == "overwrite":
-            for d in dates:
+            for d in sorted({*dates} - own):
                 store.remove(spark, f"{old[name]}/date={d}")
-        if frame is not None:
-            frame.write.mode("append").partitionBy("date").parquet(old[name])
 
 
 def export_report_daily(spark: SparkSession, date: datetime.date, bucket_dir: str, period_minutes: int, metric: str, on_duplicate_date: str, bucket_minutes: int, output_root: str | Path = "outputs") -> Path:

@@ -6,7 +6,6 @@ hide that its camera has no data.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterable
 from pathlib import Path
@@ -68,13 +67,15 @@ class Line(Strict):
 
     @model_validator(mode="after")
     def _has_sides(self) -> Line:
-        x, y = self.inside_point
-        for (ax, ay), (bx, by) in self.segments():
-            length = math.dist((ax, ay), (bx, by))
-            if length == 0:
-                raise ValueError(f"line {self.name!r}: a segment at {(ax, ay)} has no length")
-            if abs((bx - ax) * (y - ay) - (by - ay) * (x - ax)) / length < ON_LINE:
-                raise ValueError(f"line {self.name!r}: inside_point {self.inside_point} lies on the line through {(ax, ay)} and {(bx, by)}")
+        """Every segment must have a length and leave the inside point on one of its sides."""
+        points, inside = [complex(*p) for p in self.points], complex(*self.inside_point)
+        steps = [b - a for a, b in zip(points, points[1:], strict=False)]
+        if still := [k for k, step in enumerate(steps) if not step]:
+            raise ValueError(f"line {self.name!r}: segments {still} have no length")
+        # Turned into its segment's direction, a point's imaginary part is its height over that line.
+        heights = [((inside - a) / step * abs(step)).imag for a, step in zip(points, steps, strict=False)]
+        if level := [k for k, height in enumerate(heights) if abs(height) < ON_LINE]:
+            raise ValueError(f"line {self.name!r}: inside_point {self.inside_point} lies on the line of segments {level}")
         return self
 
 
