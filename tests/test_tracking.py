@@ -97,6 +97,120 @@ def test_the_query_has_empty_frames_and_faint_boxes(spark, sf_dir):
     assert got["frames"].max() <= 50 and (got["frames"] > 40).any()
 
 
+class PlainTracker:
+    """The method in whole matrices of eight states, with pairs found by trying all."""
+
+    def __init__(self, s):
+        self.s, self.frame, self.tracks, self.next = s, 0, [], 1
+        self.step = np.eye(8) + np.eye(8, k=4)
+
+    @staticmethod
+    def noise(h, place, ratio, speed=None, ratio_speed=None):
+        d = [place * h, place * h, ratio, place * h] + ([] if speed is None else [speed * h, speed * h, ratio_speed, speed * h])
+        return np.diag(np.square(d))
+
+    @staticmethod
+    def state(box):
+        x1, y1, x2, y2 = box
+        return np.array([(x1 + x2) / 2, (y1 + y2) / 2, (x2 - x1) / (y2 - y1), y2 - y1])
+
+    @staticmethod
+    def box(t):
+        x, y, a, h = t["m"][:4]
+        return [x - a * h / 2, y - h / 2, x + a * h / 2, y + h / 2]
+
+    def match(self, tracks, rows, limit, fuse):
+        cost = {(i, j): 1 - overlap(np.array([self.box(t)]), np.array([self.boxes[r]]))[0, 0] * (self.scores[r] if fuse else 1) for i, t in enumerate(tracks) for j, r in enumerate(rows)}
+        best, chosen = 0.0, []
+        for some in itertools.product([None, *range(len(rows))], repeat=len(tracks)):
+            pairs = [(i, j) for i, j in enumerate(some) if j is not None]
+            if len({j for _, j in pairs}) == len(pairs) and all(cost[p] <= limit for p in pairs):
+                gain = sum(limit - cost[p] for p in pairs)
+                if gain > best:
+                    best, chosen = gain, pairs
+        for i, j in chosen:
+            t, h = tracks[i], tracks[i]["m"][3]
+            see = np.eye(4, 8)
+            whole = see @ t["P"] @ see.T + self.noise(h, 1 / 20, 0.1)
+            gain = t["P"] @ see.T @ np.linalg.inv(whole)
+            t["m"] = t["m"] + gain @ (self.state(self.boxes[rows[j]]) - t["m"][:4])
+            t["P"] = t["P"] - gain @ whole @ gain.T
+            t["seen"], t["sure"] = self.frame, True
+            self.owner[rows[j]] = t
+        return [t for i, t in enumerate(tracks) if i not in {i for i, _ in chosen}], [r for j, r in enumerate(rows) if j not in {j for _, j in chosen}]
+
+    def update(self, boxes, scores):
+        s, self.boxes, self.scores, self.owner = self.s, boxes, scores, {}
+        self.frame += 1
+        firm, fresh = [t for t in self.tracks if t["sure"]], [t for t in self.tracks if not t["sure"]]
+        for t in firm:
+            if t["seen"] != self.frame - 1:
+                t["m"][7] = 0
+            h = t["m"][3]
+            t["m"], t["P"] = self.step @ t["m"], self.step @ t["P"] @ self.step.T + self.noise(h, 1 / 20, 1e-2, 1 / 160, 1e-5)
+        high = [r for r in range(len(boxes)) if scores[r] >= s.track_high_thresh]
+        low = [r for r in range(len(boxes)) if s.track_low_thresh < scores[r] < s.track_high_thresh]
+        left, high = self.match(firm, high, s.match_thresh, s.fuse_score)
+        self.match([t for t in left if t["seen"] == self.frame - 1], low, 0.5, False)
+        unmet, high = self.match(fresh, high, 0.7, s.fuse_score)
+        self.tracks = [t for t in self.tracks if all(t is not u for u in unmet) and self.frame - t["seen"] <= s.track_buffer]
+        for r in high:
+            if scores[r] >= s.new_track_thresh:
+                m = np.concatenate([self.state(boxes[r]), np.zeros(4)])
+                t = {"m": m, "P": self.noise(m[3], 2 / 20, 1e-2, 10 / 160, 1e-5), "seen": self.frame, "began": self.frame, "sure": self.frame == 1, "n": self.next}
+                self.next += 1
+                self.tracks.append(t)
+                self.owner[r] = t
+        gone = []
+        for a in self.tracks:
+            for b in self.tracks:
+                if a["seen"] == self.frame > b["seen"] and overlap(np.array([self.box(a)]), np.array([self.box(b)]))[0, 0] > 0.85:
+                    gone.append(b if a["seen"] - a["began"] > b["seen"] - b["began"] else a)
+        self.tracks = [t for t in self.tracks if all(t is not g for g in gone)]
+        numbers = [self.owner[r]["n"] if r in self.owner and all(self.owner[r] is not g for g in gone) else 0 for r in range(len(boxes))]
+        return numbers, [self.box(self.owner[r]) if r in self.owner else list(boxes[r]) for r in range(len(boxes))]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_tracker_equals_a_plain_one(seed):
+    rng = np.random.default_rng(seed)
+    settings = TrackerSettings(track_buffer=6, fuse_score=seed % 2 == 0)
+    plain, fast = PlainTracker(settings), CameraTracker(settings)
+    at, pace = rng.uniform(0, 150, (4, 2)), rng.normal(0, 8, (4, 2))
+    lost = 0
+    for _ in range(150):
+        at += pace + rng.normal(0, 1, at.shape)
+        pace = np.where((at < 0) | (at > 200), -pace, pace)
+        size = np.array([30.0, 60.0]) * rng.uniform(0.9, 1.1, (4, 1))
+        there = rng.random(4) < (0.8 if plain.frame % 40 < 25 else 0.1)
+        boxes, scores = np.concatenate([at, at + size], axis=1)[there], rng.uniform(0.05, 1, 4)[there] ** 0.5
+        want, where = plain.update(boxes, scores)
+        got = fast.update(boxes, scores).tolist() if len(boxes) else (fast.skip(1), [])[1]
+        assert got == want
+        if len(boxes):
+            assert np.allclose(fast.placed, where, atol=1e-6)
+        lost += sum(t["seen"] < plain.frame for t in plain.tracks)
+        assert sorted(fast.tracks.number.tolist()) == sorted(t["n"] for t in plain.tracks)
+    assert lost > 20 and plain.next > 8
+
+
+def test_flat_and_repeated_boxes_have_a_result():
+    tracker = CameraTracker(TrackerSettings())
+    for _ in range(5):
+        got = tracker.update(np.array([[5, 5, 5, 5.0], [5, 5, 9, 5], [0, 0, 10, 20], [0, 0, 10, 20]]), np.full(4, 0.9))
+        assert len(got) == 4 and np.isfinite(tracker.placed).all()
+    assert set(got[2:]) >= {3}
+
+
+def test_runs_of_a_camera_begin_anew(spark):
+    start = datetime.datetime(2026, 5, 1, 23, 59, 55)
+    rows = [(day, "a", k, start + datetime.timedelta(seconds=k), 0.0, 0.0, 50.0, 100.0, 0.9, 1920, 1080) for day in (1, 2, None) for k in range(10)]
+    boxes = spark.createDataFrame(rows, "day int, camera_id string, frame_id long, timestamp timestamp_ntz, x1 double, y1 double, x2 double, y2 double, score double, frame_width long, frame_height long")
+    every = boxes.select("day", "camera_id", "frame_id", "timestamp")
+    got = track_detections(boxes, TrackerSettings(), frames=every, run="day").groupBy("day", "track_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 1, 10), (2, 1, 10), (None, 1, 10)}
+
+
 def late_walkers(frames):
     """Boxes in the first frame of each segment and in its last."""
     return box_of_each_frame(frames.where("frame_id in (0, 59)"))
