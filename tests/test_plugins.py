@@ -9,8 +9,8 @@ import pytest
 
 from tidewalk import cli
 from tidewalk.config import ModelSettings
-from tidewalk.operators.detector import detect, require_classes
-from tidewalk.sources.annotate import annotated, draw_boxes, write_segments
+from tidewalk.operators.detector import detect, file_name, log_model, require_classes
+from tidewalk.sources.annotate import annotated, draw_boxes, draw_segments, write_segments
 
 FRAMES = "camera_id string, relpath string, frame_id long, timestamp timestamp_ntz, fps double, frame_height long, frame_width long, pixels binary"
 
@@ -76,3 +76,62 @@ def test_command_line(spark, tmp_path):
         cli.run(spark, "video")
     with pytest.raises(FileNotFoundError):
         cli.run(spark, "lines", None, input={"date": "2026-05-01", "bucket_dir": str(tmp_path / "none")})
+
+
+class Walker:
+    """A model that sees one person who walks right, and says where it was trained."""
+
+    names = {2: "person"}
+    metadata = {"train_args": {"model": "/home/somebody/base.pt", "data": "/data/floor.yaml"}, "version": "1", "date": "2026-01-01"}
+
+    def predict(self, images):
+        return [[[2, 8, 7, 14, 0.9, 2]] if image.any() else [] for image in images]
+
+
+def load_walker(path):
+    return Walker()
+
+
+def lit_decoder(path):
+    """Five frames; nobody is seen in the last two."""
+    return 16, 12, 1.0, iter([np.full((16, 12, 1), 9 if k < 3 else 0, np.uint8) for k in range(5)])
+
+
+def test_analyze_from_the_command_line(spark, tmp_path):
+    folder = tmp_path / "bucket/loc_cam/2026/07/08"
+    folder.mkdir(parents=True)
+    for n in ("030000.000Z.mkv", "040000.000Z.mkv"):
+        (folder / n).touch()
+    (tmp_path / "w.pt").touch()
+    (tmp_path / "bucket/camera_registry.yaml").write_text("bucket_name: bucket\nstorage: {}\ncameras: [{camera_id: cam, location: loc, ip: x}]\n")
+    told = {"input": {"date": "2026-07-08", "bucket_dir": str(tmp_path / "bucket")}, "model": {"model_path": str(tmp_path / "w.pt"), "batch": 2}}
+    with pytest.raises(ValueError, match="loader"):
+        cli.run(spark, "analyze", None, **told)
+    plugins = {"loader": f"{__name__}:load_walker", "decoder": f"{__name__}:lit_decoder", "writer": f"{__name__}:write_npy"}
+    path = cli.run(spark, "analyze", None, str(tmp_path / "out"), **told, plugins=plugins, output={"save_video": True})
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r["frame_id"], r["track_id"]) for r in rows) == [(0, 1)] * 2 + [(1, 1)] * 2 + [(2, 1)] * 2
+    for n in ("030000.000Z.mkv", "040000.000Z.mkv"):
+        drawn = np.load(tmp_path / "out/bucket/loc_cam/2026/07/08" / n) == 255
+        assert drawn.any(axis=(1, 2, 3)).tolist() == [True] * 3 + [False] * 2
+
+
+def test_segments_are_drawn_where_they_are_decoded(spark, tmp_path):
+    at = datetime.datetime(2026, 5, 1, 9)
+    later = at + datetime.timedelta(seconds=60)
+    segments = spark.createDataFrame([("cam", "p0", "cam/0.mkv", at), ("cam", "p1", "cam/1.mkv", later), ("other", "p0", "other/0.mkv", at)], "camera_id string, path string, relpath string, start timestamp_ntz")
+    boxes = [("cam", 1, at + datetime.timedelta(seconds=1), 1.0, 8.0, 6.0, 14.0, 3), ("cam", 1, at + datetime.timedelta(seconds=1), 2.0, 9.0, 7.0, 12.0, 4), ("cam", 0, later, 1.0, 8.0, 6.0, 14.0, 3)]
+    tracked = spark.createDataFrame(boxes, "camera_id string, frame_id long, timestamp timestamp_ntz, x1 double, y1 double, x2 double, y2 double, track_id long")
+    draw_segments(segments, tracked, str(tmp_path), f"{__name__}:lit_decoder", f"{__name__}:write_npy")
+    drawn = {k: (np.load(tmp_path / f"{k}.mkv") == 255).any(axis=(1, 2, 3)).tolist() for k in ("cam/0", "cam/1", "other/0")}
+    assert drawn == {"cam/0": [False, True, False, False, False], "cam/1": [True, False, False, False, False], "other/0": [False] * 5}
+    draw_segments(segments.limit(0), tracked.limit(0), str(tmp_path), f"{__name__}:lit_decoder", f"{__name__}:write_npy")
+
+
+def test_a_model_tells_of_itself(capsys):
+    log_model(Walker())
+    said = capsys.readouterr().out
+    assert "base.pt" in said and "floor.yaml" in said and "/home" not in said
+    log_model(object())
+    assert "no metadata" in capsys.readouterr().out
+    assert (file_name("/a/b.pt"), file_name(""), file_name(None)) == ("b.pt", "", None)

@@ -86,6 +86,14 @@ class OutputSettings(Section):
     save_video: bool = False
 
 
+class PluginSettings(Section):
+    """Functions from outside, as ``module:function``: what loads a model, decodes a video and writes one."""
+
+    loader: str = ""
+    decoder: str = "tidewalk.sources.frames:opencv_decoder"
+    writer: str = "tidewalk.sources.annotate:opencv_writer"
+
+
 class Settings(Section):
     """What a stage may be told; each stage has a subset of these sections."""
 
@@ -114,6 +122,7 @@ class AnalyzeStage(Settings):
     tracker: TrackerSettings = Field(default_factory=TrackerSettings)
     model: ModelSettings = Field(default_factory=ModelSettings)
     output: OutputSettings = Field(default_factory=OutputSettings)
+    plugins: PluginSettings = Field(default_factory=PluginSettings)
 
 
 CONFIG_FILE, PROJECT_MARK = "config.toml", "pyproject.toml"

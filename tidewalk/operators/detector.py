@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import importlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from tidewalk.config import ModelSettings
+from tidewalk.log import JsonLog
+
+log = JsonLog("detector")
 
 BOXES = "camera_id string, frame_id long, timestamp timestamp_ntz, x1 double, y1 double, x2 double, y2 double, score double, cls int, frame_width long, frame_height long"
 
@@ -27,6 +31,29 @@ def require_weights(path: str) -> None:
         raise FileNotFoundError(f"no model weights at {path}")
 
 
+def file_name(value: Any) -> Any:
+    """A path's last part, so that logs don't tell where a model was trained; anything but a path as it is."""
+    return Path(value).name if isinstance(value, str) and value else value
+
+
+def log_model(model: Any) -> None:
+    """Log what the model says of itself in ``names`` and in ``metadata``, a mapping with any of ``train_args``
+    (``model`` and ``data``), ``version``, ``date`` and ``train_metrics``; a model that says nothing is no failure.
+    """
+    try:
+        if names := getattr(model, "names", None):
+            log.info("classes of the model", classes=names)
+        told = getattr(model, "metadata", None)
+        if not isinstance(told, Mapping):
+            log.warning("the model has no metadata")
+            return
+        trained = told.get("train_args")
+        origin = {"base_model": file_name(trained.get("model")), "dataset": file_name(trained.get("data"))} if isinstance(trained, Mapping) else {}
+        log.info("the model's training", version=told.get("version"), date=told.get("date"), metrics=told.get("train_metrics"), **origin)
+    except Exception as e:  # a log line isn't worth a failed day
+        log.warning("the model's metadata can't be read", error=str(e))
+
+
 def detect(frames: DataFrame, settings: ModelSettings, loader: str) -> DataFrame:
     """Boxes of all frames. ``loader`` (``module:function``) turns a weights path into a model with ``names`` and ``predict``.
 
@@ -38,6 +65,7 @@ def detect(frames: DataFrame, settings: ModelSettings, loader: str) -> DataFrame
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         module, _, name = loader.partition(":")
         model = getattr(importlib.import_module(module), name)(settings.model_path)
+        log_model(model)
         require_classes(getattr(model, "names", None), settings.classes)
         for part in parts:
             for at in range(0, len(part), settings.batch):

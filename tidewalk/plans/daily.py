@@ -6,7 +6,7 @@ import datetime
 import json
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,9 +19,9 @@ from tidewalk.operators import checks, lines, throughput, tracks, zones
 from tidewalk.operators.tracker import track_detections
 from tidewalk.registry import load_registry, parse_lines, parse_zones
 from tidewalk.schemas import BASE_WIDTH, DEFAULT_BAND, LINE_COUNTS, LINE_FILE, TRACKING, TRACKING_FILE, ZONE_COUNTS, ZONE_FILE
+from tidewalk.sources import annotate, store
 from tidewalk.sources import frames as frame_source
-from tidewalk.sources import store
-from tidewalk.sources.segments import discover_segments
+from tidewalk.sources.segments import discover_segments, mirrored_path
 
 log = JsonLog("daily")
 
@@ -89,6 +89,7 @@ class AnalysisResult:
     tracking_path: str
     camera_ids: list[str]
     throughput: DataFrame
+    video_paths: list[str] = field(default_factory=list)
 
 
 def analyze_daily(
@@ -100,9 +101,13 @@ def analyze_daily(
     tracker: TrackerSettings | None = None,
     decoder: str | None = None,
     output_root: str | Path = "outputs",
+    video_writer: str | None = None,
 ) -> AnalysisResult:
     """Frames to tracks: segments are found and decoded, ``detector`` turns frames into boxes, each camera's boxes are tracked.
 
+    With a ``video_writer`` the segments are then written again with the tracks drawn in,
+    below ``output_root`` and the bucket's name, at their own relative paths.
+
     ``detector`` gets the frames and returns camera_id, frame_id, timestamp, x1, y1, x2,
     y2, score, cls, frame_width and frame_height.
     """
@@ -134,4 +139,14 @@ def analyze_daily(
     rates = throughput.rates(spark.createDataFrame(counts, "camera_id string, frames long"), seconds)
     total = sum(n for _, n in counts)
     log.info("frames analysed", path=path, frames=total, seconds=round(seconds, 3), fps=round(total / seconds, 3) if seconds > 0 else 0.0, by_camera=dict(counts))
-    return AnalysisResult(path, streams, rates)
+    for stream, n in counts:
+        log.info("frames of a camera", camera_id=stream, frames=n, fps=round(n / seconds, 3) if seconds > 0 else 0.0)
+    videos: list[str] = []
+    if video_writer:
+        root = f"{output_root}/{Path(bucket_dir).name}"
+        segments = spark.createDataFrame([(r["camera_id"], r["path"], r["relpath"], r["start"]) for r in found], "camera_id string, path string, relpath string, start timestamp_ntz")
+        boxes = store.read(spark, path, f"no tracking data at {path}").withColumn("timestamp", times.wall_clock(F.col("timestamp")))
+        annotate.draw_segments(segments, boxes, root, decoder or frame_source.DEFAULT_DECODER, video_writer)
+        videos = [str(mirrored_path(root, r["relpath"])) for r in found]
+        log.info("videos written", paths=videos)
+    return AnalysisResult(path, streams, rates, videos)

@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+DEFAULT_DECODER = f"{__name__}:opencv_decoder"
+
+
 @dataclass
 class CameraDay(InputPartition):
     camera_id: str
@@ -50,7 +53,7 @@ class FrameReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         import json
 
-        self.decoder = options.get("decoder", f"{__name__}:opencv_decoder")
+        self.decoder = options.get("decoder", DEFAULT_DECODER)
         self.with_pixels = options.get("pixels", "true") == "true"
         self.days = [CameraDay(d["camera_id"], [tuple(s) for s in d["segments"]]) for d in json.loads(options["days"])]
 
