@@ -12,8 +12,10 @@ them, so texts with either go to the library whole.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import json
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -241,12 +243,33 @@ def cuts_at_space(tokenizer) -> bool:
         x, y = _GAPS[k % len(_GAPS)], _GAPS[(k // 3) % len(_GAPS)]
         texts += [f"{a}{x}{b}", f"{x}{a}{y}{b}{x}", f"{a}{b}{y}{a}"]
     cut = [re.findall(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+", t) for t in texts]
-    ids = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    parts = tokenizer.encode_batch_fast([x for segments in cut for x in segments], add_special_tokens=False)
+    with one_thread():
+        ids = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        parts = tokenizer.encode_batch_fast([x for segments in cut for x in segments], add_special_tokens=False)
     each = iter(parts)
     return all(whole.ids == [i for _ in segments for i in next(each).ids] for whole, segments in zip(ids, cut, strict=True))
 
 
+#: The library's own switch for threads.
+THREADS = "TOKENIZERS_PARALLELISM"
+
+
+@contextlib.contextmanager
+def one_thread() -> Iterator[None]:
+    """The tokenizers library without threads, unless the environment says what it wants.
+
+    Tasks already fill an executor's cores, and each thread keeps memory of its own.
+    """
+    told = THREADS in os.environ
+    if not told:
+        os.environ[THREADS] = "false"
+    try:
+        yield
+    finally:
+        if not told:
+            del os.environ[THREADS]
+
+
 _ENCODERS: dict[tuple[str, bool], SegmentEncoder | WholeEncoder] = {}
 HELD.append(_ENCODERS)
 
@@ -268,7 +291,8 @@ def library_encoder(path: str, special_as_text: bool = False) -> SegmentEncoder
         added = [x.content for x in tokenizer.get_added_tokens_decoder().values() if not (special_as_text and x.special)]
 
         def encode(texts: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            with one_thread():
+                return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         narrow = tokenizer.get_vocab_size() <= 1 << 16
         # Other added tokens may stand inside words or be normalised first; then texts stay whole.
